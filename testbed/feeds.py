@@ -162,18 +162,19 @@ def tables_in(sql: str) -> list[str]:
 
 
 def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    sources = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables_in(FEEDS[name])}
-    return spark.sql(FEEDS[name], **sources)
+    return RawFeeds(spark, folder)[name]
 
 
 class RawFeeds(Mapping):
-    """The raw feeds by name, each planned when first asked for."""
+    """The feeds by name, each planned when first asked for; iteration gives the eight raw feeds."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._plan = cache(lambda name: feed(spark, folder, name))
+        self._spark = spark
+        self._table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._plan(name)
+        sql = FEEDS[name]
+        return self._spark.sql(sql, **{t: self._table(t) for t in tables_in(sql)})
 
     def __iter__(self):
         return iter(RAW_FEEDS)
