@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,3 +130,17 @@ def executive_summary(network: DataFrame, customers: DataFrame, ancillary: DataF
             "priorite_3": F.format_string(V.ADVICE_UPSELL, F.col("attach_rate_pct").cast("string")),
         }
     )
+
+
+def reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four reports by name, over stored tables or a lazy warehouse; each is computed when collected."""
+    route_metrics, customer_metrics = tables["int_route_metrics"], tables["int_customer_metrics"]
+    sales, who = tables["fact_bookings"], tables["dim_customers"]
+    return {
+        "routes": routes_ranking(route_metrics, tables["dim_routes"]),
+        "clients_a_risque": customers_at_risk(customer_metrics, who),
+        "upsell": upsell_by_segment(sales, who),
+        "resume": executive_summary(
+            summary_network(route_metrics), summary_customers(customer_metrics), summary_ancillary(sales)
+        ),
+    }
