@@ -1,0 +1,161 @@
+"""The shape of the plans and hot keys: what must hold when the data no longer fits one machine."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+import rows as R
+from skyledger.operators import customers, enrich, routes, star
+from skyledger.plans import serving
+from skyledger.plans.warehouse import Warehouse
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Sizes as on a cluster: nothing is small enough to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df, on):
+    return len(re.findall(rf"Exchange hashpartitioning\({on}#\d+, \d+\)", plan(df)))
+
+
+FILE_JOBS = {"export_tables", "ingest_raw"}
+
+
+@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in FILE_JOBS])
+def test_no_pairwise_joins_and_no_python(spark, no_broadcast, name):
+    text = plan(registry.queries()[name](spark, FOLDER))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python", "RDDScan"):
+        assert bad not in text
+
+
+def stored(spark, tmp_path):
+    """The feeds as Parquet tables, so that plans start at real scans."""
+    feeds = {}
+    for name, df in R.raw_feeds(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        feeds[name] = spark.read.parquet(str(tmp_path / name))
+    return Warehouse(feeds, R.AS_OF)
+
+
+def test_route_metrics_shuffle_flights_once(spark, tmp_path, no_broadcast):
+    wh = stored(spark, tmp_path)
+    # flights once, and one pre-aggregated exchange per feed
+    assert exchanges(wh.int_route_metrics, "flight_id") == 4
+    text = plan(wh.int_route_metrics)
+    assert text.count("FileScan parquet") == 5
+    assert len(re.findall(r"HashAggregate\(keys=\[flight_id#\d+\], functions=\[partial", text)) == 3
+
+
+def test_customer_metrics_add_no_shuffle_to_the_reductions(spark, tmp_path, no_broadcast):
+    wh = stored(spark, tmp_path)
+    # customers, three reductions of bookings, and one each of loyalty, tickets and reviews
+    assert exchanges(wh.int_customer_metrics, "customer_id") == 7
+
+
+def test_scans_read_only_needed_columns_and_filter_keys(spark, tmp_path):
+    wh = stored(spark, tmp_path)
+    text = plan(serving.summary_customers(wh.int_customer_metrics))
+    assert "review_text" not in text and "ticket_text" not in text and "first_name" not in text
+    assert "PushedFilters: [IsNotNull(customer_id)]" in text
+    simple = plan(routes.route_ops(wh.stg_flights))
+    scan = re.search(r"ReadSchema: struct<([^>]*)", simple).group(1)
+    assert "total_revenue_usd" not in scan and "aircraft_type" not in scan
+
+
+def test_top_k_keeps_only_k_rows_per_task(spark):
+    assert "TakeOrderedAndProject" in plan(registry.queries()["customers_at_risk"](spark, FOLDER))
+
+
+def hot_bookings(spark, n=30_000):
+    """A third of all bookings belongs to one customer and one flight."""
+    hot = F.col("id") % 3 == 0
+    return spark.range(n).select(
+        F.concat(F.lit("B"), "id").alias("booking_id"),
+        F.when(hot, "C1").otherwise(F.concat(F.lit("C"), F.col("id") % 500 + 2)).alias("customer_id"),
+        F.when(hot, "F1").otherwise(F.concat(F.lit("F"), F.col("id") % 700 + 2)).alias("flight_id"),
+        F.lit("2024-06-01").alias("booking_date"),
+        F.lit("Web").alias("booking_channel"),
+        F.lit("Economy").alias("fare_class"),
+        F.lit("Flex").alias("fare_family"),
+        (F.col("id") % 1000 / 100.0).alias("ticket_price_usd"),
+        (F.col("id") % 10 / 100.0).alias("ancillary_revenue_usd"),
+        F.lit("1").alias("bags_count"),
+        F.lit("True").alias("seat_selection_flag"),
+        F.lit("Confirmed").alias("booking_status"),
+    )
+
+
+@pytest.fixture
+def hot(spark, no_broadcast):
+    """A warehouse with hot keys, and AQE told to split even small skewed partitions."""
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    flights = [R._flight(f"F{i}", f"R{i % 3 + 1}") for i in range(1, 702)]
+    people = [{"customer_id": f"C{i}", "segment": f"S{i % 4}", "loyalty_member": True} for i in range(1, 502)]
+    yield Warehouse(
+        {
+            **R.raw_feeds(spark),
+            "bookings": hot_bookings(spark),
+            "flights": R.feed(spark, "flights", flights),
+            "customers": R.feed(spark, "customers", people),
+        },
+        R.AS_OF,
+    )
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def test_hot_keys_give_whole_results(hot):
+    n = 30_000
+    total = sum(i % 1000 for i in range(n)) / 100
+    metrics = {r["customer_id"]: r for r in hot.int_customer_metrics.collect()}
+    assert metrics["C1"]["total_bookings"] == n // 3
+    assert metrics["C1"]["total_fare_revenue"] == sum(i % 1000 for i in range(0, n, 3)) / 100
+    assert sum(r["total_bookings"] for r in metrics.values()) == n
+    by_route = hot.int_route_metrics.agg(F.sum("total_revenue_usd")).first()[0]
+    assert by_route == pytest.approx(total, abs=1e-6)
+    upsell = serving.upsell_by_segment(hot.fact_bookings, hot.dim_customers).collect()
+    assert sum(r["total_reservations"] for r in upsell) == n
+    assert hot.fact_bookings.count() == n
+    accrued = enrich.loyalty_accrual(hot.raw["customers"], hot.raw["bookings"], 3)
+    assert accrued.count() == n
+
+
+def final_plan(df):
+    """The plan AQE settled on while writing the frame."""
+    df = df.select("*")
+    execution = df._jdf.queryExecution()
+    df._jdf.queryExecution().executedPlan().execute().count()
+    return execution.executedPlan().toString()
+
+
+def test_row_level_joins_split_the_hot_key(hot, spark):
+    fact = star.fact_bookings(hot.stg_bookings, hot.stg_flights)
+    assert "skew=true" in final_plan(fact)
+    accrued = enrich.loyalty_accrual(hot.raw["customers"], hot.raw["bookings"], 3)
+    assert "skew=true" in final_plan(accrued)
+
+
+def test_hot_customer_costs_one_row_per_task_after_the_map_side(hot):
+    text = plan(customers.customer_loyalty(hot.stg_loyalty))
+    assert text.index("partial_sum") > text.index("Exchange hashpartitioning(customer_id")
