@@ -161,20 +161,16 @@ def tables_in(sql: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", sql)
 
 
-def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return RawFeeds(spark, folder)[name]
-
-
 class RawFeeds(Mapping):
     """The feeds by name, each planned when first asked for; iteration gives the eight raw feeds."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
-        self._table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
+        self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     def __getitem__(self, name: str) -> DataFrame:
         sql = FEEDS[name]
-        return self._spark.sql(sql, **{t: self._table(t) for t in tables_in(sql)})
+        return self._spark.sql(sql, **{t: self.table(t) for t in tables_in(sql)})
 
     def __iter__(self):
         return iter(RAW_FEEDS)
@@ -183,9 +179,14 @@ class RawFeeds(Mapping):
         return len(RAW_FEEDS)
 
 
-def lexicon(spark: SparkSession, folder: str) -> DataFrame:
+@cache
+def open_feeds(spark: SparkSession, folder: str) -> RawFeeds:
+    """The feeds of a folder, opened once per session."""
+    return RawFeeds(spark, folder)
+
+
+def lexicon(benchmark: DataFrame) -> DataFrame:
     """The longer words of the benchmark texts, each with a polarity between -1 and 1 that depends on its length."""
-    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     words = benchmark.select(F.explode(F.split(F.lower("text"), NON_LETTERS)).alias("word"))
     return (
         words.filter(F.length("word") >= LEXICON_MIN_LETTERS)
