@@ -8,12 +8,11 @@ of the customers themselves.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.frames import side_by_side
 from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 from ..functions.rules import as_of_date, signal, stamped
 
@@ -29,7 +28,8 @@ def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
     cut = F.add_months(as_of_date(as_of), -V.CHURN_WINDOW_MONTHS)
     fare, booked_on = F.col("fare_paid_usd"), F.col("booking_date")
     per_customer = bookings.groupBy("customer_id")
-    return _side_by_side(
+    return side_by_side(
+        "customer_id",
         per_customer.agg(F.countDistinct("booking_id").alias("total_bookings")),
         per_customer.agg(F.countDistinct("flight_id").alias("total_flights")),
         per_customer.agg(
@@ -45,12 +45,6 @@ def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def _side_by_side(*aggregates: DataFrame) -> DataFrame:
-    """Aggregates of the same customers, one row per customer each, as one row with all their columns."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aggregates)
-    return stacked.groupBy("customer_id").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "customer_id"])
-
-
 def customer_loyalty(loyalty: DataFrame) -> DataFrame:
     """Per customer: miles earned and redeemed and the number of movements."""
     return loyalty.groupBy("customer_id").agg(

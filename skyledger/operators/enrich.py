@@ -69,12 +69,12 @@ def _with_estimates(flights: DataFrame) -> DataFrame:
     fare = F.lit(V.FARE_FOR_OTHER_ROUTES)
     for route_type, usual in V.FARE_BY_ROUTE_TYPE.items():
         fare = F.when(F.col("route_type") == route_type, usual).otherwise(fare)
-    pax = F.col("pax_boarded")
+    pax = (seats * V.ASSUMED_LOAD).cast("int")
     return (
-        flights.withColumn("pax_boarded", (seats * V.ASSUMED_LOAD).cast("int"))
-        .withColumn("total_revenue_usd", round_half_even(pax * fare * F.col("_revenue_factor"), 2))
+        flights.withColumn("total_revenue_usd", round_half_even(pax * fare * F.col("_revenue_factor"), 2))
         .withColumn("op_cost_usd", round_half_even(F.col("total_revenue_usd") * F.col("_cost_factor"), 2))
         .withColumn("fuel_cost_usd", round_half_even(F.col("op_cost_usd") * V.FUEL_SHARE_OF_COST, 2))
+        .withColumn("pax_boarded", pax)
         .withColumn("load_factor", round_half_even(ratio(pax, seats), 4))
     )
 

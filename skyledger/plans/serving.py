@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.frames import side_by_side
 from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 
 
@@ -68,19 +69,30 @@ def customers_at_risk(
 
 
 def upsell_by_segment(fact_bookings: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """Bookings, fares, ancillaries and attach rate per customer segment, highest attach rate first."""
-    return (
-        fact_bookings.select("customer_id", "booking_id", "fare_paid_usd", "ancillary_revenue_usd")
-        .join(dim_customers.select("customer_id", "segment"), "customer_id")
+    """Bookings, fares, ancillaries and attach rate per customer segment, highest attach rate first.
+
+    Money is summed per customer before the customers are joined, and the distinct count moves nothing but ids.
+    """
+    segments = dim_customers.select("customer_id", "segment")
+    spent = fact_bookings.groupBy("customer_id").agg(
+        *[exact_sum(F.col(c)).alias(c) for c in ("fare_paid_usd", "ancillary_revenue_usd")]
+    )
+    money = (
+        spent.join(segments, "customer_id")
         .groupBy("segment")
         .agg(
-            F.countDistinct("booking_id").alias("total_reservations"),
             round_half_away(exact_sum(F.col("fare_paid_usd"))).alias("revenue_billets"),
             round_half_away(exact_sum(F.col("ancillary_revenue_usd"))).alias("revenue_ancillaires"),
             _attach_rate_pct(),
         )
-        .orderBy(F.desc_nulls_last("attach_rate_pct"), "segment")
     )
+    bookings = (
+        fact_bookings.select("customer_id", "booking_id")
+        .join(segments, "customer_id")
+        .groupBy("segment")
+        .agg(F.countDistinct("booking_id").alias("total_reservations"))
+    )
+    return side_by_side("segment", bookings, money).orderBy(F.desc_nulls_last("attach_rate_pct"), "segment")
 
 
 def summary_network(route_metrics: DataFrame) -> DataFrame:

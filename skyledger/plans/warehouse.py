@@ -126,18 +126,21 @@ class Warehouse:
         location: str,
         metrics_database: str = "main_intermediate",
         marts_database: str = "main_marts",
+        partition_by: Mapping[str, str] | None = None,
     ) -> dict[str, DataFrame]:
         """Bind staging as views, store metrics and marts below ``location`` and return the stored tables.
 
         The metric tables are stored first and the marts read them from storage, so nothing is computed twice and
-        a lost executor never sends a mart back to the raw feeds.
+        a lost executor never sends a mart back to the raw feeds. ``partition_by`` names a folder column per
+        table, such as ``flight_year`` for the facts; that column then comes last.
         """
+        layout = partition_by or {}
         bind_views({name: self[name] for name in STAGING})
         stored = {}
         for database, names in ((metrics_database, METRICS), (marts_database, MARTS)):
             folder = posixpath.join(location, database)
             ensure_database(spark, database, folder)
             for name in names:
-                stored[name] = replace_table(self[name], database, name, folder)
+                stored[name] = replace_table(self[name], database, name, folder, layout.get(name))
                 setattr(self, name, stored[name])
         return stored

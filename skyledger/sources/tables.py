@@ -54,9 +54,13 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
 
 
-def replace_table(df: DataFrame, database: str, table: str, location: str | None = None) -> DataFrame:
+def replace_table(
+    df: DataFrame, database: str, table: str, location: str | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Replace ``database.table`` by the frame and return the stored table."""
     writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     if location:
         writer = writer.option("path", posixpath.join(location, table))
     writer.saveAsTable(f"{database}.{table}")

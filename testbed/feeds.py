@@ -76,8 +76,8 @@ FEEDS = {
                o_totalprice * CAST(0.65 AS DOUBLE) AS op_cost_usd, o_totalprice * CAST(0.25 AS DOUBLE) AS fuel_cost_usd
         FROM {orders}""",
     "bookings": """
-        SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)
-                   || '-' || CAST(l_suppkey AS STRING) AS booking_id,
+        SELECT concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
+                         CAST(l_suppkey AS STRING)) AS booking_id,
                CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'X' ELSE 'F' END || CAST(l_orderkey AS STRING)
                    AS flight_id,
                'C' || CAST(CASE WHEN o_custkey % 10 = 3 THEN o_custkey - 1 ELSE o_custkey END AS STRING)

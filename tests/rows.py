@@ -108,8 +108,8 @@ LOYALTY = [
 ]
 
 AIRPORTS = [
-    {"airport_code": "ABJ", "airport_name": "Félix-Houphouët-Boigny", "latitude": 5.26, "longitude": -3.93},
-    {"airport_code": "CDG", "airport_name": "Charles de Gaulle", "latitude": 49.0, "longitude": 2.55},
+    {"airport_code": "ABJ", "airport_name": "Hub Airport", "latitude": 5.26, "longitude": -3.93},
+    {"airport_code": "CDG", "airport_name": "Far Airport", "latitude": 49.0, "longitude": 2.55},
     {"airport_code": None},
 ]
 

@@ -271,7 +271,24 @@ def test_enrich_flights_estimates(frame):
         "flight_id string, route_id string, seat_capacity int, flight_status string, delay_min int",
     )
     legs = frame([("R1", 350, "Domestic")], "route_id string, distance_km int, route_type string")
-    got = by(enrich.enrich_flights(flights, legs), "flight_id")
+    enriched = enrich.enrich_flights(flights, legs)
+    assert enriched.columns == [
+        "flight_id",
+        "route_id",
+        "seat_capacity",
+        "flight_status",
+        "delay_minutes",
+        "distance_km",
+        "route_type",
+        "total_revenue_usd",
+        "op_cost_usd",
+        "fuel_cost_usd",
+        "pax_boarded",
+        "load_factor",
+        "is_delayed",
+        "is_cancelled",
+    ]
+    got = by(enriched, "flight_id")
     one = got["F1"]
     assert (one["pax_boarded"], one["total_revenue_usd"], one["op_cost_usd"]) == (78, 7020.0, 4563.0)
     assert (one["fuel_cost_usd"], one["load_factor"], one["delay_minutes"]) == (1916.46, 0.7723, 7)

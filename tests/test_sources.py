@@ -101,6 +101,14 @@ def test_stored_warehouse_equals_the_lazy_one(spark, tmp_path):
     assert spark.table("stg_bookings").count() == 7
 
 
+def test_stored_facts_can_be_pruned_by_year(spark, tmp_path):
+    wh = Warehouse(R.raw_feeds(spark), R.AS_OF)
+    stored = wh.store(spark, str(tmp_path), "y_intermediate", "y_marts", {"fact_bookings": "flight_year"})
+    one_year = stored["fact_bookings"].filter("flight_year = 2024")
+    assert one_year.count() == 5
+    assert "PartitionFilters: [isnotnull(flight_year" in one_year._jdf.queryExecution().executedPlan().toString()
+
+
 def test_export_counts_what_was_written(spark, tmp_path):
     wh = Warehouse(R.raw_feeds(spark), R.AS_OF)
     some = {name: wh[name] for name in ("fact_bookings", "dim_routes")}
