@@ -296,6 +296,24 @@ VIEWS: dict[str, str] = {
               GROUP BY doc_id)""",
 }
 
+# Columns shown as ISO text in the final result.
+DATES = {
+    "stg_bookings": ["booking_date"],
+    "stg_customers": ["birth_date", "signup_date"],
+    "stg_flights": ["flight_date"],
+    "stg_loyalty": ["transaction_date"],
+    "stg_reviews": ["review_date"],
+    "stg_tickets": ["created_at"],
+    "customer_revenue": ["first_booking_date", "last_booking_date"],
+    "int_customer_metrics": ["first_booking_date", "last_booking_date"],
+    "mart_customer_segments": ["first_booking_date", "last_booking_date"],
+    "dim_customers": ["birth_date", "signup_date"],
+    "fact_bookings": ["booking_date", "flight_date"],
+    "fact_flights": ["flight_date"],
+    "enrich_customers": ["birth_date"],
+    "enrich_flights": ["flight_date"],
+}
+
 STORED_TABLES = (
     "dim_customers",
     "dim_routes",
@@ -335,4 +353,8 @@ def check_sql(name: str) -> str:
 
     need(name)
     ctes = ",\n".join(f"{d} AS ({body(d)})" for d in order)
-    return (f"WITH {ctes}\n" if ctes else "") + body(name)
+    result = body(name)
+    if name in DATES:
+        as_text = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in DATES[name])
+        result = f"SELECT * REPLACE ({as_text}) FROM ({result})"
+    return (f"WITH {ctes}\n" if ctes else "") + result
