@@ -18,12 +18,13 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.operators.enrich import enrich_customers, enrich_flights, loyalty_accrual
+from skyledger.operators.enrich import enrich_customers, enrich_flights, loyalty_accrual, score_texts
 from skyledger.plans.serving import reports
 from skyledger.plans.warehouse import MARTS, METRICS, Warehouse
 from skyledger.sources.schemas import RAW_TABLES
 from skyledger.sources.tables import export_tables, ingest_raw, read_raw, records, table_profile, write_csv
 
+TEXTS = {"customer_reviews": ("review_id", "review_text"), "support_tickets": ("ticket_id", "ticket_text")}
 METRICS_DATABASE, MARTS_DATABASE = "main_intermediate", "main_marts"
 
 
@@ -48,7 +49,11 @@ def open_warehouse(spark: SparkSession, location: str) -> dict[str, DataFrame]:
 
 
 def enrich(spark: SparkSession, source: str, target: str, as_of: str | None = None) -> list[str]:
-    """Complete the customer and flight feeds, accrue loyalty when there is no such feed, write all feeds as CSV."""
+    """Complete the customer and flight feeds and write all feeds as CSV.
+
+    Loyalty is accrued when there is no such feed. Reviews and tickets without a sentiment get one when the source
+    holds a ``lexicon.csv`` of words and polarities.
+    """
     feeds = {name: read_raw(spark, source, name) for name in RAW_TABLES}
     feeds = {name: df for name, df in feeds.items() if df is not None}
     if "customers" in feeds:
@@ -57,6 +62,10 @@ def enrich(spark: SparkSession, source: str, target: str, as_of: str | None = No
         feeds["flights"] = enrich_flights(feeds["flights"], feeds["routes"])
     if "loyalty_activity" not in feeds and "customers" in feeds and "bookings" in feeds:
         feeds["loyalty_activity"] = loyalty_accrual(feeds["customers"], feeds["bookings"])
+    lexicon = read_raw(spark, source, "lexicon")
+    for name, (key, text) in TEXTS.items():
+        if lexicon is not None and name in feeds and "sentiment_score" not in feeds[name].columns:
+            feeds[name] = score_texts(feeds[name], lexicon, key, text)
     for name, df in feeds.items():
         write_csv(df, posixpath.join(target, f"{name}.csv"))
     return list(feeds)
@@ -95,7 +104,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         ("export", export, "target"),
         ("report", report, "name"),
     ):
-        job = jobs.add_parser(name, help=run.__doc__)
+        job = jobs.add_parser(name, help=run.__doc__.splitlines()[0])
         job.add_argument("source")
         job.add_argument(second)
         if name in ("enrich", "build"):

@@ -122,3 +122,9 @@ def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str)
     scored = words.join(lexicon.select("word", "polarity"), "word", "left")
     mean = F.coalesce(exact_mean(F.col("polarity").cast("double")), F.lit(0.0))
     return sentiment_label(scored.groupBy(key).agg(mean.alias("sentiment_score")), "sentiment_score")
+
+
+def score_texts(feed: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    """A feed of reviews or tickets with the sentiment score and label of its texts."""
+    scores = lexicon_sentiment(feed, lexicon, key, text)
+    return feed.drop("sentiment_score", "sentiment_label").join(scores, key, "left")

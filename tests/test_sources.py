@@ -164,6 +164,7 @@ def test_jobs_from_feeds_to_reports(spark, tmp_path, capsys):
             keep = df.drop("age", "preferred_cabin") if name == "customers" else df
             tables.write_csv(keep, f"{source}/{name}.csv")
     assert set(jobs.enrich(spark, source, landing, R.AS_OF)) == set(RAW_TABLES)
+    assert tables.read_raw(spark, landing, "customer_reviews").filter("sentiment_score = 0.5").count() == 1
     loaded = jobs.ingest(spark, landing, raw)
     assert loaded["absent"] == []
     sizes = {r["table_name"]: r["row_count"] for r in loaded["loaded"]}
@@ -178,5 +179,19 @@ def test_jobs_from_feeds_to_reports(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)[0]["total_clients"] == 4
 
 
+def test_enrich_job_scores_texts_without_sentiment(spark, frame, tmp_path):
+    source, landing = str(tmp_path / "in"), str(tmp_path / "out")
+    reviews = frame(
+        [("V1", 5.0, "Great crew, great seat."), ("V2", 1.0, "Awful"), ("V3", 3.0, None)],
+        "review_id string, rating double, review_text string",
+    )
+    tables.write_csv(reviews, f"{source}/customer_reviews.csv")
+    tables.write_csv(frame([("great", 0.8), ("awful", -1.0)], "word string, polarity double"), f"{source}/lexicon.csv")
+    assert jobs.enrich(spark, source, landing) == ["customer_reviews"]
+    got = tables.read_raw(spark, landing, "customer_reviews")
+    assert got.columns == ["review_id", "rating", "review_text", "sentiment_score", "sentiment_label"]
+    assert sorted(tuple(r)[3:] for r in got.collect()) == [(-1.0, "negative"), (0.0, "neutral"), (0.8, "positive")]
+
+
 def test_declared_feeds():
     assert [len(RAW_COLUMNS[t]) for t in RAW_TABLES] == [7, 6, 14, 21, 12, 10, 11, 7]
