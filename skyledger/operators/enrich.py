@@ -111,15 +111,21 @@ def sentiment_label(df: DataFrame, score: str, label: str = "sentiment_label") -
     return df.withColumn(label, sentiment_of(F.col(score))).withColumn(score, round_half_even(F.col(score), 4))
 
 
-def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str, salts: int = 1) -> DataFrame:
     """Mean polarity and label per text; every occurrence of a lexicon word counts, no hit means 0 and neutral.
 
     ``lexicon`` holds one row per lower-case ``word`` with its ``polarity``; ``key`` identifies a text. Whole
     texts are split into words inside the tasks. A lexicon below Spark's broadcast threshold is broadcast and the
-    shuffle then carries one partial mean per text; a larger one is joined by word, where AQE splits hot words.
+    shuffle then carries one partial mean per text. A larger one is joined by word; ``salts`` then spreads each
+    word, however frequent, over that many tasks by repeating the lexicon as often.
     """
     words = texts.select(key, F.explode_outer(F.split(F.lower(text), NON_LETTERS)).alias("word"))
-    scored = words.join(lexicon.select("word", "polarity"), "word", "left")
+    polarities, on = lexicon.select("word", "polarity"), ["word"]
+    if salts > 1:
+        words = words.withColumn("salt", F.pmod(F.hash(key), F.lit(salts)))
+        polarities = polarities.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = ["word", "salt"]
+    scored = words.join(polarities, on, "left")
     mean = F.coalesce(exact_mean(F.col("polarity").cast("double")), F.lit(0.0))
     return sentiment_label(scored.groupBy(key).agg(mean.alias("sentiment_score")), "sentiment_score")
 

@@ -81,13 +81,13 @@ def test_top_k_keeps_only_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(registry.queries()["customers_at_risk"](spark, FOLDER))
 
 
-def hot_bookings(spark, n=30_000):
+def hot_bookings(spark, n=30_000, customer="C1", flight="F1"):
     """A third of all bookings belongs to one customer and one flight."""
     hot = F.col("id") % 3 == 0
     return spark.range(n).select(
         F.concat(F.lit("B"), "id").alias("booking_id"),
-        F.when(hot, "C1").otherwise(F.concat(F.lit("C"), F.col("id") % 500 + 2)).alias("customer_id"),
-        F.when(hot, "F1").otherwise(F.concat(F.lit("F"), F.col("id") % 700 + 2)).alias("flight_id"),
+        F.when(hot, F.lit(customer)).otherwise(F.concat(F.lit("C"), F.col("id") % 500 + 2)).alias("customer_id"),
+        F.when(hot, F.lit(flight)).otherwise(F.concat(F.lit("F"), F.col("id") % 700 + 2)).alias("flight_id"),
         F.lit("2024-06-01").alias("booking_date"),
         F.lit("Web").alias("booking_channel"),
         F.lit("Economy").alias("fare_class"),
@@ -156,6 +156,37 @@ def test_row_level_joins_split_the_hot_key(hot, spark):
     assert "skew=true" in final_plan(accrued)
 
 
+def test_bookings_without_flight_are_split_too(hot, spark):
+    lost = Warehouse({**hot.raw, "bookings": hot_bookings(spark, flight=None)}, R.AS_OF)
+    assert "skew=true" in final_plan(star.fact_bookings(lost.stg_bookings, lost.stg_flights))
+    assert lost.fact_bookings.filter("route_id IS NULL").count() == 10_000
+    assert lost.int_route_metrics.agg(F.sum("total_revenue_usd")).first()[0] == pytest.approx(
+        sum(i % 1000 for i in range(30_000) if i % 3) / 100, abs=1e-6
+    )
+
+
+def test_salts_spread_a_hot_word_when_the_lexicon_is_large(spark, no_broadcast):
+    texts = spark.range(3000).select("id", F.concat(F.repeat(F.lit("good "), 20), F.col("id")).alias("body"))
+    body = F.concat("body", F.lit(" "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), _word), " "))
+    words = spark.range(26**2).select(
+        F.concat(F.lit("w"), F.char(97 + F.col("id") / 26), F.char(97 + F.col("id") % 26)).alias("word"),
+        F.lit(0.0).alias("polarity"),
+    )
+    lexicon = words.union(spark.range(1).select(F.lit("good"), F.lit(1.0)))
+    for salts in (1, 16):
+        scored = enrich.lexicon_sentiment(texts.withColumn("body", body), lexicon, "id", "body", salts)
+        assert {tuple(r)[1:] for r in scored.collect()} == {(0.5, "positive")}
+    assert re.search(r"Exchange hashpartitioning\(word#\d+, salt#\d+", plan(scored))
+    sizes = texts.groupBy(F.pmod(F.hash(F.lit("good"), F.pmod(F.hash("id"), F.lit(16))), F.lit(8))).count()
+    assert max(r["count"] for r in sizes.collect()) < 3000 / 2
+
+
+def _word(i):
+    """Word i of a text, spread over all words of the lexicon."""
+    n = (F.col("id") * 31 + i * 17) % 676
+    return F.concat(F.lit("w"), F.char(97 + n / 26), F.char(97 + n % 26))
+
+
 def test_hot_customer_costs_one_row_per_task_after_the_map_side(hot):
     text = plan(customers.customer_loyalty(hot.stg_loyalty))
     assert text.index("partial_sum") > text.index("Exchange hashpartitioning(customer_id")
