@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import lsh_forest
+from skyledger.llm import (
+    decontamination, html_extraction, labelled, license_digests, lsh_forest, oracles, pii_spans, quality_ftrl, rendezvous, repetition, source_mixing,
+    toxicity,
+)
+from skyledger.llm.durable import durable
 from skyledger.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +27,83 @@ def _op9(spark: SparkSession, folder: str) -> DataFrame:
     return lsh_forest.near_duplicates(_table(spark, folder, "documents"), similarity=0.85, width=3)
 
 
+def _op1(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    ship(spark)
+    return html_extraction.extract(_table(spark, folder, "pages"))
+
+
+def _op2(spark: SparkSession, folder: str) -> DataFrame:
+    """How often and how far the mix of all documents takes each of them."""
+    docs = _table(spark, folder, "documents").select("doc_id", "source", source_mixing.word_count(F.col("text")).alias("size"))
+    planned = source_mixing.plan(durable(docs))
+    return planned.select("doc_id", "size", "source_size", "target", source_mixing.words_taken(F.col("takes")).alias("taken"))
+
+
+def _op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    ship(spark)
+    return pii_spans.personal_data(_table(spark, folder, "documents"), with_text=False).drop("redacted")
+
+
+def _op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the held-out quarter."""
+    ship(spark)
+    held_out = labelled.remainder(F.col("doc_id"), 4) == 2
+    scored = toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), held_out)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def _op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses of all documents and of their lines."""
+    return license_digests.scan(_table(spark, folder, "documents"), license_digests.registry(spark))
+
+
+def _op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Repetition rules on all documents."""
+    ship(spark)
+    return repetition.judge(_table(spark, folder, "documents"))
+
+
+def _op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learned from labels outside the held-out third."""
+    ship(spark)
+    held_out = labelled.remainder(F.col("doc_id"), 3) == 1
+    scored = quality_ftrl.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"), held_out)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def _op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards, slots and grown shards of all documents."""
+    return rendezvous.sharded(_table(spark, folder, "documents"))
+
+
+def _op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents inside 13-word windows of the benchmark."""
+    found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_tag_path_ratios": _op1,
+        "op2_source_mixing": _op2,
+        "op3_pii_spans": _op3,
+        "op4_toxicity": _op4,
+        "op5_license_digests": _op5,
+        "op6_repetition": _op6,
+        "op7_quality_ftrl": _op7,
+        "op8_rendezvous": _op8,
         "op9_lsh_forest": _op9,
+        "op10_decontamination": _op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_source_mixing": oracles.OP2,
+        "op5_license_digests": oracles.op5(license_digests.known_texts(), license_digests.SPELLINGS),
+        "op9_lsh_forest": oracles.OP9,
+        "op10_decontamination": oracles.OP10,
+    }
