@@ -38,11 +38,10 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
 #: An open element of these kinds ends where another of its own set begins, within the nearest holder named last.
 ENDS_OWN = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+TOKEN = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<!--.*?(?:--!?>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 ATTRIBUTES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
-SPACE = re.compile(r"\s+")
 
 #: Neighbours weigh this much in smoothing.
 KERNEL = (0.25, 0.5, 0.25)
@@ -75,89 +74,110 @@ def _marked(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> list[Piece]:
-    """The blocks of text of a page in order, tolerant of tags that are not closed or not opened."""
-    open_: list[tuple[str, bool]] = []  # tag, apart
-    out: list[Piece] = []
-    piece: Piece | None = None
-    at = 0
-
-    def add(raw: str) -> None:
-        nonlocal piece
-        if not raw:
-            return
-        if piece is None:
+def _closer(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*>", re.I)
+
+
+CLOSERS = {tag: _closer(tag) for tag in HIDDEN}
+
+
+class _Reader:
+    """The open elements of a page and the blocks of text read so far, tolerant of tags not closed or not opened."""
+
+    def __init__(self):
+        self.open: list[tuple[str, bool]] = []  # tag, apart
+        self.out: list[Piece] = []
+        self.piece: Piece | None = None
+        self.links = 0
+
+    def add(self, raw: str) -> None:
+        if self.piece is None:
             if raw.isspace():
                 return
-            path = tuple(t for t, _ in open_ if t not in INLINE)
-            piece = Piece(path, any(a for _, a in open_))
-            out.append(piece)
-        decoded = html.unescape(raw)
-        piece.text.append(decoded)
-        if any(t == "a" for t, _ in open_):
-            piece.linked += len(decoded)
-
-    def close(n: int) -> None:
-        del open_[n:]
-
-    for m in iter(TOKEN.scanner(page).search, None):
-        if m.start() < at:
-            continue
-        add(page[at : m.start()])
+            path = tuple(t for t, _ in self.open if t not in INLINE)
+            self.piece = Piece(path, any(a for _, a in self.open))
+            self.out.append(self.piece)
+        decoded = html.unescape(raw) if "&" in raw else raw
+        self.piece.text.append(decoded)
+        if self.links:
+            self.piece.linked += len(decoded)
+
+    def cut(self, n: int) -> None:
+        """Close the elements from the n-th on."""
+        if self.links:
+            self.links -= sum(t == "a" for t, _ in self.open[n:])
+        del self.open[n:]
+
+    def close(self, tag: str) -> None:
+        """The innermost element of a kind ends; an inline one only within its block."""
+        for n in range(len(self.open) - 1, -1, -1):
+            if self.open[n][0] == tag:
+                return self.cut(n)
+            if tag in INLINE and self.open[n][0] not in INLINE:
+                return None
+        return None
+
+    def end_open(self, kinds, within) -> None:
+        """The innermost element of some kinds ends, if it lies inside the nearest of those it may lie in."""
+        for n in range(len(self.open) - 1, -1, -1):
+            if self.open[n][0] in kinds:
+                return self.cut(n)
+            if self.open[n][0] in within:
+                return None
+        return None
+
+    def begin(self, tag: str, attributes: str) -> None:
+        if tag in ENDS_P:
+            self.end_open(("p",), HOLDERS)
+        if tag in ENDS_OWN:
+            self.end_open(*ENDS_OWN[tag])
+        apart = (tag in APART or tag == "header" or bool(attributes)) and _marked(tag, attributes, any(t in ("article", "main") for t, _ in self.open))
+        self.open.append((tag, apart))
+        self.links += tag == "a"
+
+
+def blocks(page: str) -> list[Piece]:
+    """The blocks of text of a page in order."""
+    reader, at = _Reader(), 0
+    for m in TOKEN.finditer(page):
+        start = m.start()
+        if start < at:
+            continue  # inside an element that holds no text
+        if start > at:
+            reader.add(page[at:start])
         at = m.end()
         tag = m[2] or m[5]
         if tag is None:
             continue
-        tag, closing, attributes = tag.lower(), (m[1] or m[4]) == "/", m[3] or m[6] or ""
-        if tag in HIDDEN and not closing and not attributes.endswith("/"):
-            if tag == "head":  # holds other elements, none of them text, and may be left open
-                continue
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end is None and tag not in ("script", "style", "title", "textarea"):
-                continue
-            at = end.end() if end else len(page)
-            continue
+        tag, closing = tag.lower(), (m[1] or m[4]) == "/"
         if tag == "br":
-            add(" ")
+            reader.add(" ")
+            continue
+        if tag in HIDDEN and not closing:
+            end = CLOSERS[tag].search(page, at) if tag != "head" else None  # a head holds elements and may be left open
+            if end is not None:
+                at = end.end()
+            elif tag in ("script", "style", "title", "textarea"):
+                at = len(page)
             continue
         if tag not in INLINE:
-            piece = None
+            reader.piece = None
         if closing:
-            for n in range(len(open_) - 1, -1, -1):
-                if open_[n][0] == tag:
-                    close(n)
-                    break
-                if tag in INLINE and open_[n][0] not in INLINE:
-                    break
-            continue
-        if tag in VOID:
-            continue
-        if tag in ENDS_P:
-            for n in range(len(open_) - 1, -1, -1):
-                if open_[n][0] == "p":
-                    close(n)
-                    break
-                if open_[n][0] in HOLDERS:
-                    break
-        if tag in ENDS_OWN:
-            kinds, within = ENDS_OWN[tag]
-            for n in range(len(open_) - 1, -1, -1):
-                if open_[n][0] in within:
-                    break
-                if open_[n][0] in kinds:
-                    close(n)
-                    break
-        if not attributes.rstrip().endswith("/") or tag not in INLINE:
-            open_.append((tag, _marked(tag, attributes, any(t in ("article", "main") for t, _ in open_))))
-    add(page[at:])
-    return out
+            reader.close(tag)
+        elif tag not in VOID:
+            attributes = m[3] or m[6] or ""
+            if tag not in INLINE or not attributes.endswith("/"):
+                reader.begin(tag, attributes)
+    if at < len(page):
+        reader.add(page[at:])
+    return reader.out
 
 
 def path_ratios(pieces: list[Piece]) -> dict[tuple[str, ...], float]:
-    """The fused ratio of every path: text length and punctuation a piece, smoothed over paths in order of appearance."""
+    """The fused ratio of every path of pieces with their text in one string: text length and punctuation a piece, smoothed over paths in order of appearance."""
     order: dict[tuple[str, ...], list[int]] = {}
     for p in pieces:
-        text = "".join(p.text)
+        text = p.text[0]
         entry = order.setdefault(p.path, [0, 0, 0])
         entry[0] += len(text) - p.linked
         entry[1] += len(PUNCTUATION.findall(text))
@@ -173,7 +193,7 @@ def main_text(page: str | None) -> str:
     """The blocks of a page's article, each on a line, with single spaces and decoded references; empty if there are none."""
     pieces = [p for p in blocks(page or "") if not p.apart]
     for p in pieces:
-        p.text = [SPACE.sub(" ", "".join(p.text)).strip()]
+        p.text = [" ".join("".join(p.text).split())]
     pieces = [p for p in pieces if p.text[0]]
     if not pieces:
         return ""
@@ -182,10 +202,13 @@ def main_text(page: str | None) -> str:
     own = np.array([ratios[p.path] for p in pieces])
     content = own >= THRESHOLD * (own * sizes).sum() / sizes.sum()
     held: dict[tuple[str, ...], float] = {}
+    by_path: dict[tuple[str, ...], float] = {}
     for p, size in zip(pieces, sizes * content):
-        for depth in range(len(p.path) + 1):
-            if depth == 0 or p.path[depth - 1] in HOLDERS:
-                held[p.path[:depth]] = held.get(p.path[:depth], 0) + size
+        by_path[p.path] = by_path.get(p.path, 0.0) + size
+    for path, size in by_path.items():
+        for depth in range(len(path) + 1):
+            if depth == 0 or path[depth - 1] in HOLDERS:
+                held[path[:depth]] = held.get(path[:depth], 0.0) + size
     named = [p for p in held if p and p[-1] in ("article", "main")]
     article = max((p for p in held if held[p] >= HELD * held[()]), key=len)
     if named and not any(t in ("article", "main") for t in article):
