@@ -160,6 +160,18 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, add, lambda done: done["n"])
 
 
+def _hits(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
+    """Documents with matches: hit_id and hit_h, the words inside matches, and the items."""
+    matches = phrase_matches(docs, benchmark, width).select("doc_id", "h", "ids", "matches")
+    spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches"))))
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids"))))
+    return matches.groupBy("doc_id", "h").agg(_covered(spans).alias("n_hit"), items.alias("items")).withColumnsRenamed({"doc_id": "hit_id", "h": "hit_h"})
+
+
+def _contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
     """For every row of docs its words, the words inside benchmark windows, and the items that these belong to.
 
@@ -168,13 +180,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Dat
     least one in twenty. A document without words has zeros and is clean; an item without an id has occurrences but no
     name, so it is hit and not listed. Rows may repeat or lack a doc_id: each is judged by its own text.
     """
-    matches = phrase_matches(docs, benchmark, width).select("doc_id", "h", "ids", "matches")
-    spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches"))))
-    hits = matches.groupBy("doc_id", "h").agg(_covered(spans).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
     text = F.col("text").cast("string")
     sizes = docs.select("doc_id", F.xxhash64(text).alias("h"), F.size(words(text)).cast("long").alias("n_words"))
-    hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h"), "n_hit", "items")
-    out = sizes.join(hits, sizes["doc_id"].eqNullSafe(hits["hit_id"]) & (sizes["h"] == hits["hit_h"]), "left")
+    hits = _hits(docs, benchmark, width)
+    out = sizes.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left")
     n_hit, items = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
     out = out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"))
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return out.withColumn("contaminated", _contaminated(F.col("n_hit"), F.col("n_words")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
+    """The rows of docs, with their columns as they are, that are not contaminated."""
+    hits = _hits(docs, benchmark, width)
+    text = F.col("text").cast("string")
+    same = docs["doc_id"].eqNullSafe(hits["hit_id"]) & (F.xxhash64(text) == F.col("hit_h"))
+    return docs.join(hits, same & _contaminated(F.col("n_hit"), F.size(words(text))), "left_anti")

@@ -103,6 +103,8 @@ SPELLED = {
     "0": "zero oh null cero zéro", "1": "one eins uno un une", "2": "two zwei zwo dos deux", "3": "three drei tres trois", "4": "four vier cuatro quatre",
     "5": "five fünf cinco cinq", "6": "six sechs seis", "7": "seven sieben siete sept", "8": "eight acht ocho huit", "9": "nine neun nueve neuf",
 }
+# Last labels of domain names that people spell out.
+LAST_LABELS = frozenset("com org net edu gov mil int info biz io co ai app dev me eu uk us ca au de fr es it nl be ch at pl se no dk fi pt ie mx br ar jp cn in example test".split())
 DIGIT_OF = {name: digit for digit, names in SPELLED.items() for name in names.split()}
 
 _NAMED = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
@@ -216,8 +218,9 @@ def rewrite(text: str) -> Rewritten | None:
         found = [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(out.text, m.start(), m.start("at"))]
         found.append((m.start("at"), m.end("at"), "@"))
         found += [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(out.text, m.start("rest"), m.end())]
-        # a plain word "at" before a written domain is prose: a dot or the sign itself must be disguised with it
-        if m["at"].strip() == "@" or len(found) > 1:
+        # a plain word "at" before a written domain is prose: a dot or the sign itself must be disguised with it, and signs
+        # that are all plain words must lead to a known last label
+        if m["at"].strip() == "@" or (len(found) > 1 and _SPOKEN_DOT.split(m["rest"])[-1].rpartition(".")[2].lower() in LAST_LABELS):
             edits += found
     out.apply(edits)
     out.apply([e for m in _SPOKEN_IP.finditer(out.text) for d in _SPOKEN_DOT.finditer(out.text, m.start(), m.end()) for e in [(d.start(), d.end(), ".")]])

@@ -1,0 +1,88 @@
+"""Both classifiers are held to their accuracy on labels they have not seen."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.llm import labelled, quality_ftrl, toxicity
+
+LARGER = "/root/testdata/sf0.1"
+
+
+def held(parts, k):
+    return labelled.remainder(F.col("doc_id"), parts) == k
+
+
+@pytest.fixture(scope="module")
+def larger(spark):
+    return lambda name: spark.read.parquet(f"{LARGER}/{name}.parquet")
+
+
+def judged(scored, labels, label):
+    rows = scored.join(labels, "doc_id").filter("held_out").select("score", "predicted", label).collect()
+    y, p = np.array([r[label] for r in rows]), np.array([r["predicted"] for r in rows])
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    return (p == y).mean(), (p[y == 1] == 1).mean(), (p[y == 0] == 0).mean()
+
+
+def test_toxicity_on_the_held_out_quarter(larger):
+    scored = toxicity.toxicity(larger("documents"), larger("labels"), held(4, 2), per_class=600)
+    accuracy, caught, spared = judged(scored, larger("labels"), "toxic")
+    assert accuracy > 0.95 and caught > 0.9 and spared > 0.95
+
+
+def test_quality_on_the_held_out_third(larger):
+    scored = quality_ftrl.quality(larger("documents"), larger("labels"), held(3, 1), per_class=1000)
+    accuracy, good, bad = judged(scored, larger("labels"), "quality")
+    assert accuracy > 0.97 and good > 0.97 and bad > 0.95
+
+
+def test_the_held_out_rows_are_those_of_the_checksum(table):
+    got = table("documents").select("doc_id", held(4, 2).alias("out")).collect()
+    assert all(r["out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+
+
+def test_labels_of_held_out_rows_are_not_learned_from(table):
+    docs, labels = table("documents"), table("labels")
+    changed = labels.withColumn("quality", F.when(held(3, 1), 1 - F.col("quality")).otherwise(F.col("quality")))
+    one, two = (quality_ftrl.quality(docs, t, held(3, 1)).select("doc_id", "score").collect() for t in (labels, changed))
+    assert sorted(one) == sorted(two)
+
+
+def test_pooling_equals_a_loop_over_texts():
+    from skyledger.llm import text_arrays as ta
+
+    texts = ["one two three four", "", None, "idiot", "a b", "one two three four five six"]
+    net = toxicity.learn(["you idiot", "fine words here", "idiot again", "more fine words"] * 5, np.array([1, 0, 1, 0] * 5), passes=2)
+    (run,) = ta.runs(labelled.as_column(texts))
+    s = toxicity.stream(run)
+    pooled = net.pooled(s, net.products())
+    for i in range(len(texts)):
+        (own,) = ta.runs(labelled.as_column([texts[i]]))
+        s = toxicity.stream(own)
+        vectors = net.word[s.word] + net.stem[s.stem]
+        n = s.end[0]
+        want = np.concatenate([sum(vectors[k : n + k] @ net.filters[w][k] for k in range(w)).max(axis=0) for w in toxicity.WIDTHS])
+        assert np.allclose(pooled[i], want, atol=1e-4)
+
+
+@pytest.mark.parametrize("operator, label", [(toxicity.toxicity, "toxic"), (quality_ftrl.quality, "quality")])
+def test_awkward_rows(awkward, frame, table, operator, label):
+    got = operator(awkward, table("labels"), held(4, 2)).collect()
+    assert len(got) == awkward.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in got)
+    none = frame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    unlearned = operator(awkward, none, held(4, 2)).select("score").distinct().collect()
+    assert len(unlearned) == 1
+    assert operator(awkward.limit(0), table("labels"), held(4, 2)).collect() == []
+
+
+def test_thresholds_are_set_by_language():
+    y = np.array([0, 1] * 40)
+    scores = np.where(y == 1, 0.9, 0.1)
+    shifted = np.where(y == 1, 0.9, 0.6)
+    got = toxicity.calibrated(np.concatenate([scores, shifted, scores[:4]]), np.concatenate([y, y, y[:4]]), ["en"] * 80 + ["de"] * 80 + ["fr"] * 4)
+    assert set(got) == {"en", "de"}
+    assert got["en"] == 0.3 and 0.6 < got["de"] <= 0.9
