@@ -1,15 +1 @@
 """Column-level building blocks."""
-
-from .numeric import exact_mean, exact_sum, ratio, round_half_away, round_half_even, to_int
-from .rules import as_of_date, sentiment_of
-
-__all__ = [
-    "as_of_date",
-    "exact_mean",
-    "exact_sum",
-    "ratio",
-    "round_half_away",
-    "round_half_even",
-    "sentiment_of",
-    "to_int",
-]

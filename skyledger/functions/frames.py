@@ -1,18 +1,22 @@
-"""Putting aggregates together."""
+"""Joins that stay divisible."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def side_by_side(key: str, *aggregates: DataFrame) -> DataFrame:
-    """Aggregates with at most one row per key each, as one row per key with all their columns.
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join in which Spark may split a hot key.
 
-    Frames aggregated by ``key`` are partitioned alike, so stacking and regrouping them moves no rows. A NULL key
-    is a key like any other, which a join would lose.
+    Spark splits a large partition of a join only if a shuffle made for this join feeds both sides. A side that is
+    already dealt by the key, such as the result of an aggregate, would be joined in place, so the key gets a further
+    column, its hash, by which neither side is dealt yet. A NULL key matches nothing, as in any join.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aggregates)
-    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in stacked.columns if c != key])
+    tag = F.xxhash64(*on)
+    return left.withColumn("_tag", tag).join(right.withColumn("_tag", tag), [*on, "_tag"], how).drop("_tag")
+
+
+def zero_if_null(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The frame with NULL as 0 in some columns; NaN stays, which ``fillna`` would replace too."""
+    return df.withColumns({c: F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)) for c in columns})

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MICRO = Decimal("0.000001")
+_FINE, _FINEST = float(1 << 30), float(1 << 60)
 
 
 def round_half_away(x: Column, digits: int = 0) -> Column:
@@ -33,17 +33,23 @@ def to_int(c: Column) -> Column:
 
 
 def exact_sum(x: Column) -> Column:
-    """Sum of a double column to a millionth, the same for every row order, task count and retry.
+    """Sum of a double column, the same for every row order, task count and retry.
 
-    A double sum changes in its last bits with the order of the rows, which can flip a rounded cent. Summing
-    whole units and millionths as two longs is order-free, costs about as much as one double sum and is far
-    cheaper than a decimal sum. Per group the longs hold 9e18 units and 1e13 rows; beyond that Spark raises.
+    A double sum changes in its last bits with the order of the rows, which can flip a rounded cent. Here every addend
+    is cut, without rounding, into whole units, 2^-30ths and 2^-60ths; the parts are summed as longs, which no order
+    changes, and put together as the nearest double. What is finer than that is summed as doubles, and so is what longs
+    cannot hold: groups with NaN, an infinity or an addend of 2^53 and more, or whose total passes 9e18 units.
     """
-    whole = F.rint(x)
-    micro = F.rint((x - whole) * 1e6)
-    total = F.sum(whole.cast("long")).cast("decimal(20,0)")
-    rest = F.sum(micro.cast("long")).cast("decimal(20,0)") * F.lit(_MICRO)
-    return (total + rest).cast("double")
+    # NaN is above every number, so this is false for it too
+    held = F.when(F.abs(x) < float(1 << 53), x)
+    whole = F.rint(held)
+    fine = F.rint((held - whole) * _FINE)
+    finest = F.rint((held - whole - fine / _FINE) * _FINEST)
+    rest = held - whole - fine / _FINE - finest / _FINEST
+    units, thirtieths, sixtieths = (F.try_sum(c.cast("long")).cast("decimal(20,0)") for c in (whole, fine, finest))
+    parts = units * F.lit(Decimal(1 << 60)) + thirtieths * F.lit(Decimal(1 << 30)) + sixtieths
+    plain = F.max(F.abs(x)) >= float(1 << 53)
+    return F.when(plain, F.sum(x)).otherwise(F.coalesce(parts.cast("double") / _FINEST + F.sum(rest), F.sum(x)))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.frames import side_by_side
+from ..functions.frames import zero_if_null
 from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 from ..functions.rules import as_of_date, signal, stamped
 
@@ -20,28 +20,23 @@ from ..functions.rules import as_of_date, signal, stamped
 def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
     """Per customer: distinct bookings and flights, fares, ancillaries, booking dates and recency counts.
 
-    Each exact distinct count is an aggregate of its own: it shuffles only (customer, id) pairs, which spreads a
-    hot customer over all tasks. The three results share their partitioning, so putting them together moves no
-    rows. Against one aggregate with both distinct counts this reads the bookings three times, each time only the
-    columns needed, but shuffles fewer bytes, keeps smaller hash tables and measured a third faster.
+    The bookings are read once. Spark lays each row out once for either distinct count and once for the sums, with the
+    columns each needs, and combines them by (customer, booking) and (customer, flight) before the shuffle, which
+    spreads a hot customer over all tasks. A consumer that uses no distinct count plans none.
     """
     cut = F.add_months(as_of_date(as_of), -V.CHURN_WINDOW_MONTHS)
     fare, booked_on = F.col("fare_paid_usd"), F.col("booking_date")
-    per_customer = bookings.groupBy("customer_id")
-    return side_by_side(
-        "customer_id",
-        per_customer.agg(F.countDistinct("booking_id").alias("total_bookings")),
-        per_customer.agg(F.countDistinct("flight_id").alias("total_flights")),
-        per_customer.agg(
-            exact_sum(fare).alias("total_fare_revenue"),
-            exact_mean(fare).alias("avg_fare_paid"),
-            exact_sum(F.col("ancillary_revenue_usd")).alias("total_ancillary_revenue"),
-            F.max(booked_on).alias("last_booking_date"),
-            F.min(booked_on).alias("first_booking_date"),
-            F.count_if(booked_on >= cut).alias("bookings_recent"),
-            F.count_if(booked_on < cut).alias("bookings_older"),
-            F.count_if(F.col("cabin") == "business").alias("business_flights"),
-        ),
+    return bookings.groupBy("customer_id").agg(
+        F.countDistinct("booking_id").alias("total_bookings"),
+        F.countDistinct("flight_id").alias("total_flights"),
+        exact_sum(fare).alias("total_fare_revenue"),
+        exact_mean(fare).alias("avg_fare_paid"),
+        exact_sum(F.col("ancillary_revenue_usd")).alias("total_ancillary_revenue"),
+        F.max(booked_on).alias("last_booking_date"),
+        F.min(booked_on).alias("first_booking_date"),
+        F.count_if(booked_on >= cut).alias("bookings_recent"),
+        F.count_if(booked_on < cut).alias("bookings_older"),
+        F.count_if(F.col("cabin") == "business").alias("business_flights"),
     )
 
 
@@ -84,24 +79,24 @@ def int_customer_metrics(
         .join(customer_tickets(tickets), "customer_id", "left")
         .join(customer_satisfaction(reviews), "customer_id", "left")
         .withColumn("rating_for_churn", F.coalesce("avg_rating", F.lit(float(V.CHURN_RATING_WHEN_UNRATED))))
-        .fillna(
-            0,
-            [
-                "total_fare_revenue",
-                "total_ancillary_revenue",
-                "total_bookings",
-                "total_flights",
-                "avg_fare_paid",
-                "business_flights",
-                "bookings_recent",
-                "bookings_older",
-                "total_miles_earned",
-                "total_miles_redeemed",
-                "open_tickets",
-                "avg_rating",
-                "avg_review_sentiment",
-            ],
-        )
+    )
+    joined = zero_if_null(
+        joined,
+        [
+            "total_fare_revenue",
+            "total_ancillary_revenue",
+            "total_bookings",
+            "total_flights",
+            "avg_fare_paid",
+            "business_flights",
+            "bookings_recent",
+            "bookings_older",
+            "total_miles_earned",
+            "total_miles_redeemed",
+            "open_tickets",
+            "avg_rating",
+            "avg_review_sentiment",
+        ],
     )
     fare, ancillary = F.col("total_fare_revenue"), F.col("total_ancillary_revenue")
     recent, older = F.col("bookings_recent"), F.col("bookings_older")

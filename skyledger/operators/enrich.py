@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.numeric import exact_mean, ratio, round_half_even
+from ..functions.frames import split_join
+from ..functions.numeric import exact_sum, ratio, round_half_even
 from ..functions.rules import add_missing, as_of_date, sentiment_of
 
 NON_LETTERS = r"[^\p{L}]+"
@@ -19,11 +20,12 @@ def _as_column(value: float | Column) -> Column:
 def enrich_customers(customers: DataFrame, as_of=None) -> DataFrame:
     """Customers with ``segment``, and with cabin, membership and age derived where the feed has no such column.
 
-    Deriving the age also turns ``birth_date`` into a date, NULL where it cannot be read.
+    ``birth_date`` becomes a date, NULL where it cannot be read.
     """
     df = customers.withColumnRenamed("customer_segment", "segment")
-    if "age" not in df.columns and "birth_date" in df.columns:
+    if "birth_date" in df.columns:
         df = df.withColumn("birth_date", F.col("birth_date").try_cast("date"))
+    if "age" not in df.columns and "birth_date" in df.columns:
         age = {"age": (F.datediff(as_of_date(as_of), "birth_date") / 365).cast("int")}
     else:
         age = {}
@@ -111,26 +113,30 @@ def sentiment_label(df: DataFrame, score: str, label: str = "sentiment_label") -
     return df.withColumn(label, sentiment_of(F.col(score))).withColumn(score, round_half_even(F.col(score), 4))
 
 
-def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str, salts: int = 1) -> DataFrame:
+def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str, salts: int = 16) -> DataFrame:
     """Mean polarity and label per text; every occurrence of a lexicon word counts, no hit means 0 and neutral.
 
-    ``lexicon`` holds one row per lower-case ``word`` with its ``polarity``; ``key`` identifies a text. Whole
-    texts are split into words inside the tasks. A lexicon below Spark's broadcast threshold is broadcast and the
-    shuffle then carries one partial mean per text. A larger one is joined by word; ``salts`` then spreads each
-    word, however frequent, over that many tasks by repeating the lexicon as often.
+    ``lexicon`` holds one row per lower-case ``word`` with its ``polarity``; ``key`` identifies a text, and texts of one
+    key are scored as one. Whole texts are split inside the tasks, and equal words of a text are counted before they
+    meet the lexicon. A lexicon below Spark's broadcast threshold is broadcast. A larger one is joined by word and
+    salt: each word, however frequent, is spread over ``salts`` tasks by repeating the lexicon as often.
     """
     words = texts.select(key, F.explode_outer(F.split(F.lower(text), NON_LETTERS)).alias("word"))
-    polarities, on = lexicon.select("word", "polarity"), ["word"]
-    if salts > 1:
-        words = words.withColumn("salt", F.pmod(F.hash(key), F.lit(salts)))
-        polarities = polarities.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = ["word", "salt"]
-    scored = words.join(polarities, on, "left")
-    mean = F.coalesce(exact_mean(F.col("polarity").cast("double")), F.lit(0.0))
+    counted = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)))
+    polarities = lexicon.select("word", F.col("polarity").cast("double").alias("polarity"))
+    polarities = polarities.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    scored = split_join(counted, polarities, ["word", "salt"], "left")
+    hits = F.when(F.col("polarity").isNotNull(), F.col("n"))
+    mean = F.coalesce(ratio(exact_sum(F.col("polarity") * F.col("n")), F.sum(hits)), F.lit(0.0))
     return sentiment_label(scored.groupBy(key).agg(mean.alias("sentiment_score")), "sentiment_score")
 
 
-def score_texts(feed: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """A feed of reviews or tickets with the sentiment score and label of its texts."""
-    scores = lexicon_sentiment(feed, lexicon, key, text)
-    return feed.drop("sentiment_score", "sentiment_label").join(scores, key, "left")
+def score_texts(feed: DataFrame, lexicon: DataFrame, text: str, salts: int = 16) -> DataFrame:
+    """A feed of reviews or tickets with the sentiment score and label of each row's text, whatever its keys.
+
+    Rows find their score by the digest of their text, so rows of equal text have equal scores and a row needs no id.
+    """
+    own = feed.drop("sentiment_score", "sentiment_label").withColumn("_text", F.md5(F.coalesce(text, F.lit(""))))
+    scores = lexicon_sentiment(own, lexicon, "_text", text, salts)
+    return split_join(own, scores, ["_text"], "left").drop("_text")

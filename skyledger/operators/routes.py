@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.frames import zero_if_null
 from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 from ..functions.rules import stamped
 
@@ -127,9 +128,8 @@ def int_route_metrics(
         .join(_reviews_per_flight(reviews), "flight_id", "left")
         .join(_tickets_per_flight(tickets), "flight_id", "left")
     )
-    per_route = _per_route(activity, OPERATIONS + REVENUE + SENTIMENT + TICKETS).fillna(
-        0, ["total_revenue", "total_ancillary", "review_count", "promoters", "detractors", *TICKETS]
-    )
+    counted = ["total_revenue", "total_ancillary", "review_count", "promoters", "detractors", *TICKETS]
+    per_route = zero_if_null(_per_route(activity, OPERATIONS + REVENUE + SENTIMENT + TICKETS), counted)
     labels = routes.select("route_id", "origin", "destination", "route_type", "distance_km", "is_strategic")
     revenue = F.col("total_revenue")
     margin = revenue * V.ROUTE_MARGIN_SHARE

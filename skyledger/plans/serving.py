@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.frames import side_by_side
 from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 
 
@@ -71,28 +70,22 @@ def customers_at_risk(
 def upsell_by_segment(fact_bookings: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Bookings, fares, ancillaries and attach rate per customer segment, highest attach rate first.
 
-    Money is summed per customer before the customers are joined, and the distinct count moves nothing but ids.
+    One pass over the bookings: they meet their customers' segments and are counted and summed together. The distinct
+    count combines rows by (segment, booking) before the shuffle, so a large segment is spread over all tasks.
     """
     segments = dim_customers.select("customer_id", "segment")
-    spent = fact_bookings.groupBy("customer_id").agg(
-        *[exact_sum(F.col(c)).alias(c) for c in ("fare_paid_usd", "ancillary_revenue_usd")]
-    )
-    money = (
-        spent.join(segments, "customer_id")
+    sales = fact_bookings.select("customer_id", "booking_id", "fare_paid_usd", "ancillary_revenue_usd")
+    return (
+        sales.join(segments, "customer_id")
         .groupBy("segment")
         .agg(
+            F.countDistinct("booking_id").alias("total_reservations"),
             round_half_away(exact_sum(F.col("fare_paid_usd"))).alias("revenue_billets"),
             round_half_away(exact_sum(F.col("ancillary_revenue_usd"))).alias("revenue_ancillaires"),
             _attach_rate_pct(),
         )
+        .orderBy(F.desc_nulls_last("attach_rate_pct"), "segment")
     )
-    bookings = (
-        fact_bookings.select("customer_id", "booking_id")
-        .join(segments, "customer_id")
-        .groupBy("segment")
-        .agg(F.countDistinct("booking_id").alias("total_reservations"))
-    )
-    return side_by_side("segment", bookings, money).orderBy(F.desc_nulls_last("attach_rate_pct"), "segment")
 
 
 def summary_network(route_metrics: DataFrame) -> DataFrame:
@@ -144,6 +137,17 @@ def executive_summary(network: DataFrame, customers: DataFrame, ancillary: DataF
     )
 
 
+def grouped_summary(summary: DataFrame) -> DataFrame:
+    """The executive summary as one row of groups: network, customers, ancillaries and recommendations."""
+    groups = {
+        "réseau": ["revenue_total", "marge_totale", "load_factor_moyen", "routes_performantes"],
+        "clients": ["total_clients", "ltv_moyenne", "clients_a_risque", "ltv_menacee"],
+        "ancillaires": ["revenue_ancillaire", "attach_rate_pct"],
+    }
+    advice = F.struct(*[F.col(f"priorite_{i}").alias(f"priorité_{i}") for i in (1, 2, 3)])
+    return summary.select(*[F.struct(*names).alias(g) for g, names in groups.items()], advice.alias("recommandation"))
+
+
 def reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The four reports by name, over stored tables or a lazy warehouse; each is computed when collected."""
     route_metrics, customer_metrics = tables["int_route_metrics"], tables["int_customer_metrics"]
@@ -152,7 +156,9 @@ def reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "routes": routes_ranking(route_metrics, tables["dim_routes"]),
         "clients_a_risque": customers_at_risk(customer_metrics, who),
         "upsell": upsell_by_segment(sales, who),
-        "resume": executive_summary(
-            summary_network(route_metrics), summary_customers(customer_metrics), summary_ancillary(sales)
+        "resume": grouped_summary(
+            executive_summary(
+                summary_network(route_metrics), summary_customers(customer_metrics), summary_ancillary(sales)
+            )
         ),
     }

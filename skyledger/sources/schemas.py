@@ -5,6 +5,8 @@ Counts are read as doubles, since files written from frames with gaps hold ``45.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import types as T
 
 S, D, B, DATE, TS = T.StringType(), T.DoubleType(), T.BooleanType(), T.DateType(), T.TimestampNTZType()
@@ -119,7 +121,7 @@ RAW_COLUMNS: dict[str, dict[str, T.DataType]] = {
 RAW_TABLES = tuple(RAW_COLUMNS)
 
 
-def read_schema(table: str, header: list[str]) -> T.StructType:
-    """Schema for a file with this header: declared types by column name, text for columns not declared."""
-    declared = RAW_COLUMNS.get(table, {})
+def read_schema(table: str, header: list[str], as_text: Collection[str] = ()) -> T.StructType:
+    """Schema for a file with this header: declared types by column name, text for others and where asked for."""
+    declared = {n: t for n, t in RAW_COLUMNS.get(table, {}).items() if n not in as_text}
     return T.StructType([T.StructField(name, declared.get(name, S)) for name in header])

@@ -27,6 +27,37 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system a path is on, and the path in its terms."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A folder name below the shared folder that no earlier run has used."""
-    return posixpath.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+    """A new folder below the shared folder, deleted with the session if nobody deletes it before."""
+    path = posixpath.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens if it does not exist."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of ``path``; what was there goes only when the new one stands."""
+    files, place = _file_system(spark, path)
+    old = _file_system(spark, f"{path}.old-{uuid.uuid4().hex}")[1]
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(_file_system(spark, fresh)[1], place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        files.delete(old, True)

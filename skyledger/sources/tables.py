@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterable, Mapping
+import uuid
+from collections.abc import Collection, Iterable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
 from .schemas import RAW_TABLES, read_schema
 
 # The tables an export consists of, in order.
@@ -28,14 +30,25 @@ EXPORTED_TABLES = (
 
 
 def read_raw(
-    spark: SparkSession, folder: str, table: str, infer: bool = False, multi_line: bool = False
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    infer: bool = False,
+    multi_line: bool = False,
+    as_text: Collection[str] = (),
 ) -> DataFrame | None:
-    """The feed ``<folder>/<table>.csv`` (a file or a folder of files), or None when it is absent.
+    """The feed ``<folder>/<table>.parquet`` or else ``<table>.csv`` (a file or a folder of files); None if there is neither.
 
-    Types are declared per column name, so the file is read once and its column order does not matter; a value
-    that does not fit its type stops the job. ``infer`` lets Spark look at the data instead, at the price of a
-    second read. Quoted line breaks need ``multi_line``, which makes each file one task.
+    Types of a CSV feed are declared per column name, so the file is read once and its column order does not matter; a
+    value that does not fit its type stops the job, except in columns read ``as_text``. ``infer`` lets Spark look at the
+    data instead, at the price of a second read. Quoted line breaks need ``multi_line``, which makes each file one task;
+    feeds with line breaks are better passed on as Parquet.
     """
+    try:
+        return spark.read.parquet(posixpath.join(folder, f"{table}.parquet"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     path = posixpath.join(folder, f"{table}.csv")
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     try:
@@ -46,25 +59,52 @@ def read_raw(
         raise
     if infer:
         return reader.option("inferSchema", True).option("preferDate", True).csv(path)
-    return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(read_schema(table, header)).csv(path)
+    schema = read_schema(table, header, as_text)
+    return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(path)
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+    quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{quoted}'" if location else ""))
+
+
+def clustered(df: DataFrame, column: str | None) -> DataFrame:
+    """The frame with rows of a column's value together, so a folder gets few files; Spark splits large values."""
+    return df.hint("rebalance", F.col(column)) if column else df
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write a frame aside and put it in place when it is whole; returns it as stored."""
+    spark, fresh = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}"
+    writer = clustered(df, partition_by).write
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh)
+    except BaseException:
+        storage.delete(spark, fresh)
+        raise
+    storage.swap_in(spark, fresh, path)
+    return spark.read.parquet(path)
 
 
 def replace_table(
     df: DataFrame, database: str, table: str, location: str | None = None, partition_by: str | None = None
 ) -> DataFrame:
-    """Replace ``database.table`` by the frame and return the stored table."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replace ``database.table`` by the frame and return the stored table; a failed write leaves the old one.
+
+    With a location the table is the folder of its name there.
+    """
+    spark, name = df.sparkSession, f"{database}.{table}"
+    if location is None:
+        writer = clustered(df, partition_by).write.mode("overwrite").format("parquet")
+        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
+        return spark.table(name)
+    path = posixpath.join(location, table)
+    stored = write_parquet(df, path, partition_by)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path, "parquet")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if location:
-        writer = writer.option("path", posixpath.join(location, table))
-    writer.saveAsTable(f"{database}.{table}")
-    return df.sparkSession.table(f"{database}.{table}")
+        spark.catalog.recoverPartitions(name)
+    return stored
 
 
 def ingest_raw(
@@ -96,6 +136,9 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, df in tables.items()
     ]
+    if not counts:
+        none = "table_name string, row_count long, column_count int"
+        return SparkSession.active().createDataFrame([], none)
     return reduce(DataFrame.unionAll, counts)
 
 
@@ -113,24 +156,17 @@ def export_tables(
     written = {}
     for name in names:
         if name in tables:
-            path = posixpath.join(folder, f"{name}.parquet")
-            writer = tables[name].write.mode("overwrite")
-            if name in layout:
-                writer = writer.partitionBy(layout[name])
-            writer.parquet(path)
-            written[name] = tables[name].sparkSession.read.parquet(path)
+            written[name] = write_parquet(tables[name], posixpath.join(folder, f"{name}.parquet"), layout.get(name))
     counts = table_profile(written).select("table_name", "row_count")
     return counts, [n for n in names if n not in written]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a frame as CSV with a header, quotes doubled inside quoted text."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Write a frame as CSV with a header, quotes doubled inside quoted text, blanks and line breaks kept."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def records(df: DataFrame, max_rows: int = 100_000) -> list[dict]:
-    """A small result as a list of dicts; a result of more than ``max_rows`` rows is refused, never cut."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; write the result to a table instead")
-    return [r.asDict(recursive=True) for r in rows]
+def records(df: DataFrame) -> Iterator[dict]:
+    """The rows as dicts, fetched partition by partition, so a result of any size passes through little memory."""
+    return (r.asDict(recursive=True) for r in df.toLocalIterator())

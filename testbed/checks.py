@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import re
 
-from .feeds import AS_OF, FEEDS, HUB, LEXICON_MIN_LETTERS, RAW_FEEDS
+from skyledger.sources.schemas import RAW_COLUMNS
+
+from .contents import contents_sql
+from .feeds import AS_OF, FEEDS, HUB, RAW_FEEDS
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -22,8 +25,9 @@ def whole(x: str) -> str:
 
 
 def total(x: str, where: str = "") -> str:
-    """Sum of amounts with up to four decimals, independent of row order."""
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))){where} AS DOUBLE)"
+    """Sum of doubles, independent of row order: whole multiples of 2^-60, read as the nearest double."""
+    scale = f"{1 << 60}.0::DOUBLE"
+    return f"(CAST(CAST(SUM(CAST({x} * {scale} AS HUGEINT)){where} AS VARCHAR) AS DOUBLE) / {scale})"
 
 
 def mean(x: str, where: str = "") -> str:
@@ -36,7 +40,7 @@ VIEWS: dict[str, str] = {
     "lexicon": f"""
         SELECT word, (length(word) % 5 - 2) / 2.0 AS polarity
         FROM (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS word FROM {{benchmark}})
-        WHERE length(word) >= {LEXICON_MIN_LETTERS}""",
+        WHERE word <> ''""",
     "stg_bookings": f"""
         SELECT booking_id, flight_id, customer_id, booking_date::DATE AS booking_date, booking_channel AS channel,
                fare_class, fare_family, ticket_price_usd AS fare_paid_usd, ancillary_revenue_usd,
@@ -71,7 +75,7 @@ VIEWS: dict[str, str] = {
     "stg_reviews": f"""
         SELECT review_id, booking_id, customer_id, flight_id, review_date::DATE AS review_date,
                {whole("rating")} AS rating, review_text, sentiment_score, sentiment_label, cabin,
-               COALESCE(['detractor', 'detractor', 'passive', 'promoter', 'promoter'][rating::INTEGER], 'passive')
+               CASE WHEN rating::DOUBLE >= 4 THEN 'promoter' WHEN rating::DOUBLE <= 2 THEN 'detractor' ELSE 'passive' END
                    AS nps_category
         FROM {{customer_reviews}} WHERE review_id IS NOT NULL""",
     "stg_routes": f"""
@@ -153,14 +157,14 @@ VIEWS: dict[str, str] = {
         FROM {stg_flights} JOIN {stg_tickets} USING (flight_id) GROUP BY ALL""",
     "int_route_metrics": """
         SELECT route_id, origin, destination, route_type, distance_km, is_strategic, total_flights, operated_flights,
-               total_pax, ROUND(revenue, 2) AS total_revenue_usd, ROUND(IFNULL(total_ancillary, 0), 2)
+               total_pax, ROUND(IFNULL(total_revenue, 0), 2) AS total_revenue_usd, ROUND(IFNULL(total_ancillary, 0), 2)
                    AS total_ancillary_usd,
-               ROUND(revenue * 0.62::DOUBLE, 2) AS total_op_cost_usd,
-               ROUND(revenue * 0.38::DOUBLE, 2) AS gross_margin_usd, ROUND(avg_load_factor, 4) AS avg_load_factor,
+               ROUND(IFNULL(total_revenue, 0) * 0.62::DOUBLE, 2) AS total_op_cost_usd,
+               ROUND(IFNULL(total_revenue, 0) * 0.38::DOUBLE, 2) AS gross_margin_usd, ROUND(avg_load_factor, 4) AS avg_load_factor,
                ROUND(delay_rate, 4) AS delay_rate, ROUND(cancellation_rate, 4) AS cancellation_rate,
                ROUND(avg_delay_min, 1) AS avg_delay_minutes,
-               ROUND(IF(total_pax <> 0, revenue / total_pax, NULL), 2) AS yield_per_pax_usd,
-               ROUND(IF(operated_flights <> 0, revenue * 0.38::DOUBLE / operated_flights, NULL), 2)
+               ROUND(IF(total_pax <> 0, IFNULL(total_revenue, 0) / total_pax, NULL), 2) AS yield_per_pax_usd,
+               ROUND(IF(operated_flights <> 0, IFNULL(total_revenue, 0) * 0.38::DOUBLE / operated_flights, NULL), 2)
                    AS margin_per_flight_usd,
                ROUND(avg_sentiment, 4) AS avg_sentiment, ROUND(avg_rating, 2) AS avg_rating,
                IFNULL(review_count, 0) AS review_count,
@@ -169,9 +173,8 @@ VIEWS: dict[str, str] = {
                IFNULL(ticket_count, 0) AS ticket_count, IFNULL(delay_tickets, 0) AS delay_tickets,
                IFNULL(baggage_tickets, 0) AS baggage_tickets, IFNULL(service_tickets, 0) AS service_tickets
         FROM {stg_routes} JOIN {route_ops} USING (route_id)
-             LEFT JOIN (SELECT *, total_revenue AS earned FROM {route_revenue}) USING (route_id)
-             LEFT JOIN {route_sentiment} USING (route_id) LEFT JOIN {route_tickets} USING (route_id),
-             LATERAL (SELECT IFNULL(earned, 0) AS revenue)""",
+             LEFT JOIN {route_revenue} USING (route_id)
+             LEFT JOIN {route_sentiment} USING (route_id) LEFT JOIN {route_tickets} USING (route_id)""",
     "dim_airports": f"""
         SELECT airport_code AS airport_id, airport_name, city, country, timezone, latitude::DOUBLE AS latitude,
                longitude::DOUBLE AS longitude, airport_code IS NOT DISTINCT FROM '{HUB}' AS is_hub
@@ -327,10 +330,42 @@ STORED_TABLES = (
 )
 _FEED_WIDTH = dict(zip(RAW_FEEDS, (7, 6, 14, 21, 12, 10, 11, 7)))
 
-VIEWS["export_tables"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, 'written' AS status FROM {{{t}}}" for t in STORED_TABLES
-) + " UNION ALL SELECT 'dim_fare_families', NULL, 'absent'"
-VIEWS["table_profile"] = VIEWS["ingest_raw"] = " UNION ALL ".join(
+# Raw dates are delivered as text and stored as dates and numbers; both sides compare what is stored.
+RAW_TYPES = {
+    "DOUBLE": ["latitude", "longitude", "distance_km", "block_time_min", "age", "seat_capacity", "delay_minutes", "pax_boarded", "load_factor",
+               "total_revenue_usd", "op_cost_usd", "fuel_cost_usd", "ticket_price_usd", "ancillary_revenue_usd", "bags_count", "rating",
+               "sentiment_score", "resolution_days", "miles_earned", "miles_redeemed"],
+    "DATE": ["birth_date", "signup_date", "flight_date", "booking_date", "review_date", "created_at", "transaction_date"],
+    "TIMESTAMP": ["scheduled_departure", "scheduled_arrival", "actual_departure", "actual_arrival"],
+    "BOOLEAN": ["loyalty_member", "is_delayed", "is_cancelled", "seat_selection_flag"],
+}
+_COLUMNS = {t: list(c) for t, c in RAW_COLUMNS.items()}
+
+
+def stored_feed(table: str) -> str:
+    """A feed with the types that its file is read with."""
+    cast = {c: kind for kind, names in RAW_TYPES.items() for c in names}
+    return "SELECT " + ", ".join(f"CAST({c} AS {cast[c]}) AS {c}" if c in cast else c for c in _COLUMNS[table]) + f" FROM {{{table}}}"
+
+
+for _feed in RAW_FEEDS:
+    VIEWS[f"stored_{_feed}"] = stored_feed(_feed)
+VIEWS["ingest_raw"] = " UNION ALL ".join(
+    contents_sql(f"stored_{t}").replace(f"'stored_{t}' AS", f"'{t}' AS") for t in RAW_FEEDS if t != "loyalty_activity"
+) + " UNION ALL SELECT 'loyalty_activity', 0, 'absent', 0, '0'"
+VIEWS["export_tables"] = " UNION ALL ".join(contents_sql(t) for t in STORED_TABLES) + (
+    " UNION ALL SELECT 'dim_fare_families', 0, 'absent', 0, '0'"
+)
+VIEWS["grouped_summary"] = """
+    SELECT revenue_total AS "réseau_revenue_total", marge_totale AS "réseau_marge_totale",
+           load_factor_moyen AS "réseau_load_factor_moyen", routes_performantes AS "réseau_routes_performantes",
+           total_clients AS clients_total_clients, ltv_moyenne AS clients_ltv_moyenne,
+           clients_a_risque AS clients_clients_a_risque, ltv_menacee AS clients_ltv_menacee,
+           revenue_ancillaire AS ancillaires_revenue_ancillaire, attach_rate_pct AS ancillaires_attach_rate_pct,
+           priorite_1 AS "recommandation_priorité_1", priorite_2 AS "recommandation_priorité_2",
+           priorite_3 AS "recommandation_priorité_3"
+    FROM {executive_summary}"""
+VIEWS["table_profile"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {_FEED_WIDTH[t]}::INTEGER AS column_count FROM {{{t}}}"
     for t in RAW_FEEDS
 )

@@ -19,7 +19,6 @@ from skyledger.operators.enrich import NON_LETTERS
 
 AS_OF = "1999-01-01"
 HUB = "NATION_0"
-LEXICON_MIN_LETTERS = 4
 
 FEEDS = {
     "airports": """
@@ -95,7 +94,8 @@ FEEDS = {
                CAST(CAST(ts AS DATE) AS STRING) AS review_date,
                CASE WHEN event_id % 89 = 0 THEN NULL
                     ELSE CAST(1 + (7 * user_id + event_id % 2) % 5 AS STRING) END AS rating,
-               props AS review_text,
+               CASE event_id % 4 WHEN 0 THEN '  ' || props || '  '
+                    WHEN 1 THEN 'é "' || props || '",' || chr(10) || ' ñ' ELSE props END AS review_text,
                LEAST(CAST(1 AS DOUBLE), GREATEST(CAST(-1 AS DOUBLE), (value - 50) / 50)) AS sentiment_score,
                CASE WHEN (value - 50) / 50 > 0.15 THEN 'positive' WHEN (value - 50) / 50 < -0.15 THEN 'negative'
                     ELSE 'neutral' END AS sentiment_label,
@@ -186,10 +186,6 @@ def open_feeds(spark: SparkSession, folder: str) -> RawFeeds:
 
 
 def lexicon(benchmark: DataFrame) -> DataFrame:
-    """The longer words of the benchmark texts, each with a polarity between -1 and 1 that depends on its length."""
+    """The words of the benchmark texts, each with a polarity between -1 and 1 that depends on its length."""
     words = benchmark.select(F.explode(F.split(F.lower("text"), NON_LETTERS)).alias("word"))
-    return (
-        words.filter(F.length("word") >= LEXICON_MIN_LETTERS)
-        .distinct()
-        .withColumn("polarity", (F.length("word") % 5 - 2) / 2.0)
-    )
+    return words.filter("word <> ''").distinct().withColumn("polarity", (F.length("word") % 5 - 2) / 2.0)

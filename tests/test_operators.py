@@ -211,11 +211,15 @@ def test_reports(wh):
     ]
     upsell = [tuple(r) for r in reports["upsell"].collect()]
     assert upsell == [("Budget", 3, 100.0, 17.0, 17.0), ("Business", 2, 201.0, 15.0, 7.46)]
-    resume = reports["resume"].first().asDict()
-    assert resume["priorite_1"] == "Rétention — 1 clients à risque, 216.0$ menacés"
-    assert resume["priorite_2"] == "Routes — 3 routes performantes à développer"
-    assert resume["priorite_3"] == "Upsell — attach rate actuel 10.57% vs 15-20% benchmark"
-    assert (resume["revenue_total"], resume["total_clients"], resume["revenue_ancillaire"]) == (231.0, 4, 35.0)
+    resume = reports["resume"].first().asDict(recursive=True)
+    assert list(resume) == ["réseau", "clients", "ancillaires", "recommandation"]
+    assert resume["recommandation"] == {
+        "priorité_1": "Rétention — 1 clients à risque, 216.0$ menacés",
+        "priorité_2": "Routes — 3 routes performantes à développer",
+        "priorité_3": "Upsell — attach rate actuel 10.57% vs 15-20% benchmark",
+    }
+    assert resume["réseau"]["revenue_total"] == 231.0
+    assert (resume["clients"]["total_clients"], resume["ancillaires"]["revenue_ancillaire"]) == (4, 35.0)
 
 
 def test_attach_rate_without_fares(spark, wh):

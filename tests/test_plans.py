@@ -34,9 +34,10 @@ def exchanges(df, on):
 
 
 FILE_JOBS = {"export_tables", "ingest_raw"}
+SERVED = ("routes_ranking", "customers_at_risk", "upsell_by_segment", "summary_network", "summary_customers", "summary_ancillary", "executive_summary", "grouped_summary")
 
 
-@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in FILE_JOBS])
+@pytest.mark.parametrize("name", [n for n in registry.warehouse_queries() if n not in FILE_JOBS])
 def test_no_pairwise_joins_and_no_python(spark, no_broadcast, name):
     text = plan(registry.queries()[name](spark, FOLDER))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python", "RDDScan"):
@@ -63,8 +64,26 @@ def test_route_metrics_shuffle_flights_once(spark, tmp_path, no_broadcast):
 
 def test_customer_metrics_add_no_shuffle_to_the_reductions(spark, tmp_path, no_broadcast):
     wh = stored(spark, tmp_path)
-    # customers, three reductions of bookings, and one each of loyalty, tickets and reviews
-    assert exchanges(wh.int_customer_metrics, "customer_id") == 7
+    # customers, and one each of bookings, loyalty, tickets and reviews
+    assert exchanges(wh.int_customer_metrics, "customer_id") == 5
+
+
+def test_customer_revenue_reads_the_bookings_once(spark, tmp_path, no_broadcast):
+    wh = stored(spark, tmp_path)
+    revenue = customers.customer_revenue(wh.stg_bookings, R.AS_OF)
+    assert plan(revenue).count("FileScan parquet") == 1
+    assert plan(wh.int_customer_metrics).count("FileScan parquet") == 5
+    # without a distinct count no row is laid out more than once
+    assert "Expand" in plan(revenue) and "Expand" not in plan(revenue.drop("total_bookings", "total_flights"))
+    assert "Expand" not in plan(serving.summary_customers(wh.int_customer_metrics))
+
+
+@pytest.mark.parametrize("name", SERVED)
+def test_served_queries_read_stored_tables_only(spark, no_broadcast, name):
+    text = plan(registry.queries()[name](spark, FOLDER))
+    places = re.findall(r"Location: \w+\(\d+ paths?\)\[([^\]]*)\]", text)
+    assert places and all("/warehouse-" in p for p in places)
+    assert "flight_id" not in text
 
 
 def test_scans_read_only_needed_columns_and_filter_keys(spark, tmp_path):
@@ -165,6 +184,15 @@ def test_bookings_without_flight_are_split_too(hot, spark):
     )
 
 
+def test_a_hot_word_is_split_where_the_lexicon_is_the_result_of_an_aggregate(hot, spark):
+    texts = spark.range(20_000).select("id", F.concat(F.lit("good w"), F.char(97 + F.col("id") % 26)).alias("body"))
+    lexicon = spark.range(40).select(F.concat(F.lit("w"), F.char(97 + F.col("id") % 26)).alias("word"))
+    lexicon = lexicon.union(spark.createDataFrame([("good",)], "word string")).distinct().withColumn("polarity", F.lit(1.0))
+    scored = enrich.lexicon_sentiment(texts, lexicon, "id", "body", salts=1)
+    assert "skew=true" in final_plan(scored)
+    assert scored.filter("sentiment_score = 1").count() == 20_000
+
+
 def test_salts_spread_a_hot_word_when_the_lexicon_is_large(spark, no_broadcast):
     texts = spark.range(3000).select("id", F.concat(F.repeat(F.lit("good "), 20), F.col("id")).alias("body"))
     body = F.concat("body", F.lit(" "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), _word), " "))

@@ -119,11 +119,10 @@ def test_export_counts_what_was_written(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "fact_bookings.parquet")).count() == 7
 
 
-def test_records_refuse_large_results(spark):
-    df = spark.range(5).select(F.struct("id").alias("s"))
-    assert tables.records(df, 5)[0] == {"s": {"id": 0}}
-    with pytest.raises(ValueError):
-        tables.records(df, 4)
+def test_records_come_one_by_one(spark):
+    found = tables.records(spark.range(5).select(F.struct("id").alias("s")))
+    assert next(found) == {"s": {"id": 0}}
+    assert len(list(found)) == 4
 
 
 def test_shared_folder(spark, tmp_path):
@@ -176,7 +175,12 @@ def test_jobs_from_feeds_to_reports(spark, tmp_path, capsys):
     upsell = jobs.report(spark, warehouse, "upsell")
     assert [r["segment"] for r in upsell] == ["Budget", "Business"]
     jobs.main(["report", warehouse, "resume"])
-    assert json.loads(capsys.readouterr().out)[0]["total_clients"] == 4
+    (summary,) = json.loads(capsys.readouterr().out)
+    assert list(summary) == ["réseau", "clients", "ancillaires", "recommandation"]
+    assert summary["clients"]["total_clients"] == 4
+    jobs.main(["report", warehouse, "routes", "--output", f"{out}/routes"])
+    assert json.loads(capsys.readouterr().out)["output"] == f"{out}/routes"
+    assert spark.read.json(f"{out}/routes").count() == len(list(jobs.report(spark, warehouse, "routes")))
 
 
 def test_enrich_job_scores_texts_without_sentiment(spark, frame, tmp_path):
@@ -193,5 +197,79 @@ def test_enrich_job_scores_texts_without_sentiment(spark, frame, tmp_path):
     assert sorted(tuple(r)[3:] for r in got.collect()) == [(-1.0, "negative"), (0.0, "neutral"), (0.8, "positive")]
 
 
+AWKWARD = ["  padded  ", "two\nlines", 'said "so", twice', "é à ñ", "trailing ", None]
+
+
+def test_csv_keeps_blanks_line_breaks_quotes_and_accents(spark, frame, tmp_path):
+    df = frame([(f"T{i}", t) for i, t in enumerate(AWKWARD)], "ticket_id string, ticket_text string")
+    tables.write_csv(df, str(tmp_path / "support_tickets.csv"))
+    back = tables.read_raw(spark, str(tmp_path), "support_tickets", multi_line=True)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+@pytest.mark.parametrize("options", [["--parquet"], []])
+def test_jobs_pass_on_texts_with_line_breaks(spark, frame, tmp_path, capsys, options):
+    source, landing, raw = (str(tmp_path / d) for d in ("in", "landing", "raw"))
+    df = frame([(f"T{i}", t, 0.5) for i, t in enumerate(AWKWARD)], "ticket_id string, ticket_text string, sentiment_score double")
+    tables.write_csv(df, f"{source}/support_tickets.csv")
+    jobs.main(["enrich", source, landing, "--multi-line", *options])
+    jobs.main(["ingest", landing, raw, *([] if options else ["--multi-line"])])
+    got = spark.read.parquet(f"{raw}/support_tickets").select("ticket_text").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, df.select("ticket_text").collect()))
+
+
+def test_a_birth_date_that_is_no_date_becomes_null(spark, tmp_path):
+    source, landing, raw = (str(tmp_path / d) for d in ("in", "landing", "raw"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "customers.csv").write_text("customer_id,segment,loyalty_tier,birth_date\nC1,Business,,not known\nC2,Budget,Gold,1990-01-01\n")
+    jobs.enrich(spark, source, landing, "2024-12-31")
+    jobs.ingest(spark, landing, raw)
+    got = {r["customer_id"]: (r["birth_date"], r["age"]) for r in spark.read.parquet(f"{raw}/customers").collect()}
+    assert got == {"C1": (None, None), "C2": (dt.date(1990, 1, 1), 35.0)}
+
+
+def test_ingest_can_infer_undeclared_columns(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "routes.csv").write_text("route_id,distance_km,opened\nR1,350,2024-01-05\n")
+    jobs.main(["ingest", str(tmp_path / "in"), str(tmp_path / "raw"), "--infer"])
+    assert dict(spark.read.parquet(str(tmp_path / "raw" / "routes")).dtypes)["opened"] == "date"
+
+
+def test_export_of_a_folder_without_tables(spark, tmp_path):
+    assert jobs.export(spark, str(tmp_path / "none"), str(tmp_path / "out")) == {"exported": [], "absent": list(tables.EXPORTED_TABLES)}
+
+
+def test_a_failed_write_leaves_the_former_table(spark, frame, tmp_path):
+    tables.ensure_database(spark, "kept", str(tmp_path / "it's here"))
+    tables.replace_table(frame([(1,)], "a int"), "kept", "t", str(tmp_path / "it's here"))
+    broken = frame([(1,)], "a int").select(F.raise_error(F.lit("no")).cast("int").alias("a"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, "kept", "t", str(tmp_path / "it's here"))
+    assert [p.name for p in (tmp_path / "it's here").iterdir()] == ["t"]
+    assert spark.table("kept.t").collect() == [(1,)]
+    tables.replace_table(frame([(2, "x")], "a int, b string"), "kept", "t", str(tmp_path / "it's here"))
+    assert spark.table("kept.t").collect() == [(2, "x")]
+
+
+def test_folders_of_a_column_get_few_files_and_jobs_can_ask_for_them(spark, tmp_path, capsys):
+    raw, warehouse, out = (str(tmp_path / d) for d in ("raw", "wh", "out"))
+    for name, df in R.raw_feeds(spark).items():
+        df.repartition(7).write.parquet(f"{raw}/{name}")
+    jobs.main(["build", raw, warehouse, "--as-of", str(R.AS_OF), "--partition", "fact_bookings=flight_year"])
+    jobs.main(["export", warehouse, out, "--partition", "fact_flights=flight_year"])
+    for top in (tmp_path / "wh" / jobs.MARTS_DATABASE / "fact_bookings", tmp_path / "out" / "fact_flights.parquet"):
+        years = [p for p in top.iterdir() if p.name.startswith("flight_year=")]
+        assert years and all(len(list(y.glob("*.parquet"))) == 1 for y in years)
+
+
+def test_texts_are_scored_row_by_row(frame):
+    from skyledger.operators.enrich import score_texts
+
+    feed = frame([("a", "good"), ("a", "bad"), (None, "good bad good"), (None, None), ("b", "good")], "review_id string, review_text string")
+    lexicon = frame([("good", 0.8), ("bad", -1.0)], "word string, polarity double")
+    got = score_texts(feed, lexicon, "review_text")
+    assert sorted(map(repr, ((r[0], r[2]) for r in got.collect()))) == sorted(map(repr, [("a", 0.8), ("a", -1.0), (None, 0.2), (None, 0.0), ("b", 0.8)]))
+
+
 def test_declared_feeds():
     assert [len(RAW_COLUMNS[t]) for t in RAW_TABLES] == [7, 6, 14, 21, 12, 10, 11, 7]
