@@ -28,9 +28,10 @@ def judged(scored, labels, label):
 
 
 def test_toxicity_on_the_held_out_quarter(larger):
-    scored = toxicity.toxicity(larger("documents"), larger("labels"), held(4, 2), per_class=600)
+    # some 330 toxic texts to learn from, in four languages
+    scored = toxicity.toxicity(larger("documents"), larger("labels"), held(4, 2))
     accuracy, caught, spared = judged(scored, larger("labels"), "toxic")
-    assert accuracy > 0.95 and caught > 0.9 and spared > 0.95
+    assert accuracy > 0.95 and caught > 0.8 and spared > 0.97
 
 
 def test_quality_on_the_held_out_third(larger):
@@ -62,7 +63,7 @@ def test_pooling_equals_a_loop_over_texts():
     for i in range(len(texts)):
         (own,) = ta.runs(labelled.as_column([texts[i]]))
         s = toxicity.stream(own)
-        vectors = net.word[s.word] + net.stem[s.stem]
+        vectors = net.table[s.rows].sum(axis=0)
         n = s.end[0]
         want = np.concatenate([sum(vectors[k : n + k] @ net.filters[w][k] for k in range(w)).max(axis=0) for w in toxicity.WIDTHS])
         assert np.allclose(pooled[i], want, atol=1e-4)
@@ -82,7 +83,7 @@ def test_awkward_rows(awkward, frame, table, operator, label):
 def test_thresholds_are_set_by_language():
     y = np.array([0, 1] * 40)
     scores = np.where(y == 1, 0.9, 0.1)
-    shifted = np.where(y == 1, 0.9, 0.6)
+    shifted = np.where(y == 1, 0.9, 0.58)
     got = toxicity.calibrated(np.concatenate([scores, shifted, scores[:4]]), np.concatenate([y, y, y[:4]]), ["en"] * 80 + ["de"] * 80 + ["fr"] * 4)
     assert set(got) == {"en", "de"}
-    assert got["en"] == 0.3 and 0.6 < got["de"] <= 0.9
+    assert got["en"] == 0.3 and got["de"] == 0.6

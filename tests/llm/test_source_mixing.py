@@ -54,8 +54,8 @@ def test_drawn_counts_follow_the_hypergeometric_law(spark):
     assert {r["k"]: r["count"] / 4000 for r in got} == {k: pytest.approx(p, abs=3e-4) for k, p in law.items() if p > 3e-4}
 
 
-def test_sources_reach_their_targets_and_shards_hold_disjoint_takes(table):
-    docs = table("documents").withColumn("size", sm.word_count(F.col("text")))
+def test_sources_reach_their_targets_and_shards_hold_disjoint_takes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("size", sm.word_count(F.col("text")))
     rows = sm.plan(docs, shards=4).collect()
     assert len(rows) == docs.count()
     taken, target, shards = defaultdict(int), {}, defaultdict(int)
@@ -67,6 +67,7 @@ def test_sources_reach_their_targets_and_shards_hold_disjoint_takes(table):
         target[r["source"]] = r["target"]
     assert dict(taken) == {s: int(t) for s, t in target.items()}
     assert set(shards) == {0, 1, 2, 3}
+    # whole documents of up to 5,000 words go to the shard of the block in which they begin
     mean = sum(shards.values()) / 4
     assert all(0.7 * mean < n < 1.3 * mean for n in shards.values())
 
