@@ -94,10 +94,10 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "ο": "o", "ν": "v", "ι": "i", "α": "a", "ρ": "p", "ı": "i", "ɡ": "g", "ⅼ": "l",
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".", "｡": ".", "·": ".",
-    " ": " ", " ": " ", " ": " ", " ": " ", " ": " ", "　": " ",
+    "\u00a0": " ", "\u2002": " ", "\u2003": " ", "\u2009": " ", "\u202f": " ", "\u3000": " ",
 }
 # Characters without a shape of their own.
-INVISIBLE = frozenset("­​‌‍‎‏⁠⁡⁢⁣﻿")
+INVISIBLE = frozenset("\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\ufeff")
 # The digits by name in the languages of the texts.
 SPELLED = {
     "0": "zero oh null cero zéro", "1": "one eins uno un une", "2": "two zwei zwo dos deux", "3": "three drei tres trois", "4": "four vier cuatro quatre",

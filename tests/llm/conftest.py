@@ -25,7 +25,7 @@ def awkward(spark):
         (1, "a plain text of some words that is not long", "en", "s1", 43),
         (2, None, None, None, None),
         (3, "", "", "", 0),
-        (4, " \t\n ", "de", "s2", 4),
+        (4, " \t\n ", "de", "s2", 4),
         (5, long_text, "en", "s1", len(long_text)),
         (5, long_text, "en", "s1", len(long_text)),
         (6, "x" * 200_000 + " 1" * 50_000, "fr", None, None),

@@ -45,7 +45,7 @@ def test_base_spans_equal_the_patterns(text):
         ("jane at host dot org ok", "email", "jane at host dot org"),
         ("name @ host.com", "email", "name @ host.com"),
         ("to jоhn@exаmple.com please", "email", "jоhn@exаmple.com"),
-        ("john​@mail.com", "email", "john​@mail.com"),
+        ("john\u200b@mail.com", "email", "john\u200b@mail.com"),
         ("４２４２ " * 3 + "４２４２", "card", "４２４２ " * 3 + "４２４２"),
         ("call plus four nine one five two three four five six seven!", "phone", "plus four nine one five two three four five six seven"),
         ("four two " * 7 + "four two", "card", "four two " * 7 + "four two"),
