@@ -11,7 +11,7 @@ import re
 from skyledger.sources.schemas import RAW_COLUMNS
 
 from .contents import contents_sql
-from .feeds import AS_OF, FEEDS, HUB, RAW_FEEDS
+from .feeds import AS_OF, FEEDS, HUB, RAW_FEEDS, RUN_TS
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -365,6 +365,7 @@ VIEWS["grouped_summary"] = """
            priorite_1 AS "recommandation_priorité_1", priorite_2 AS "recommandation_priorité_2",
            priorite_3 AS "recommandation_priorité_3"
     FROM {executive_summary}"""
+VIEWS["stamped_airports"] = f"SELECT airport_code AS airport_id, '{RUN_TS:%Y-%m-%d %H:%M:%S}' AS loaded_at FROM {{airports}}"
 VIEWS["table_profile"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {_FEED_WIDTH[t]}::INTEGER AS column_count FROM {{{t}}}"
     for t in RAW_FEEDS

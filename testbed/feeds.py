@@ -8,6 +8,7 @@ whose number ends in 3 book nothing.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Mapping
 from functools import cache
@@ -19,6 +20,7 @@ from skyledger.operators.enrich import NON_LETTERS
 
 AS_OF = "1999-01-01"
 HUB = "NATION_0"
+RUN_TS = dt.datetime(1999, 1, 2, 3, 4, 5)
 
 FEEDS = {
     "airports": """
