@@ -104,6 +104,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": oracles.OP2,
         "op5_license_digests": oracles.op5(license_digests.known_texts(), license_digests.SPELLINGS),
+        "op6_repetition": oracles.op6(repetition.NGRAM_SHARES, repetition.LINE_SHARE),
+        "op8_rendezvous": oracles.OP8,
         "op9_lsh_forest": oracles.OP9,
         "op10_decontamination": oracles.OP10,
     }

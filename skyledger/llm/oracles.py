@@ -116,3 +116,72 @@ WITH k AS (
 )
 SELECT doc_id, license, coalesce(n, 0)::BIGINT AS n_license_lines, coalesce(licenses, '') AS licenses FROM d LEFT JOIN h USING (r)
 """
+
+
+def _rank(*parts: str) -> str:
+    """A number below 2^52 from an md5 of texts."""
+    return f"CAST('0x' || substr(md5({' || '.join(parts)}), 1, 13) AS BIGINT)"
+
+
+#: DuckDB has no crc32, so it is computed byte by byte from a table made by its polynomial.
+OP8 = f"""
+WITH t AS (
+    SELECT list(v ORDER BY n) AS crc FROM (
+        SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS v FROM range(256) r(n))
+), d AS (
+    SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h, coalesce(doc_id::VARCHAR, '') AS k FROM documents
+), b AS (
+    SELECT doc_id, k, strlen(text) + 1 AS size, list_transform(range(strlen(text)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS bytes,
+        list_transform(range(9), lambda s: -ln(({_rank("'shard '", "s", "'|'", "k")} + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)) AS cost FROM d
+), c AS (
+    SELECT doc_id, k, size, xor(list_reduce(bytes, lambda c, x: xor(crc[(xor(c, x) & 255) + 1], c >> 8), 4294967295), 4294967295) AS text_crc32,
+        CAST(list_position(cost[1:8], list_min(cost[1:8])) - 1 AS INTEGER) AS shard, CAST(list_position(cost, list_min(cost)) - 1 AS INTEGER) AS grown_shard FROM b, t
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY {_rank("'slot|'", "k", "'|'", "text_crc32::VARCHAR")}, doc_id, text_crc32) - 1 AS slot, grown_shard
+FROM c
+"""
+
+
+def op6(ngram_shares: dict[int, float], line_share: float) -> str:
+    lengths = [3, *ngram_shares]
+    keys = ", ".join(f"CASE WHEN count(*) OVER w{n} = {n} THEN string_agg(word, ' ') OVER w{n} END AS k{n}" for n in lengths)
+    windows = ", ".join(f"w{n} AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)" for n in lengths)
+    later = ", ".join(f"k{n} IS NOT NULL AND row_number() OVER (PARTITION BY r, k{n} ORDER BY p) > 1 AS f{n}" for n in ngram_shares)
+    covered = ", ".join(f"bool_or(f{n}) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}" for n in lengths)
+    sums = ", ".join(f"coalesce(sum(c) FILTER (c{n}), 0) AS s{n}" for n in ngram_shares)
+    shares = ", ".join(f"coalesce(s{n}, 0)::DOUBLE / greatest(chars, 1) AS dup_{n}gram_share" for n in ngram_shares)
+    passed = " AND ".join(f"dup_{n}gram_share <= {limit}::DOUBLE" for n, limit in ngram_shares.items())
+    return rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
+), s AS (
+    SELECT r, regexp_extract_all(text, '{_WORD}') AS ws FROM d
+), w AS (
+    SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM s
+), k AS (
+    SELECT r, p, length(word) AS c, {keys} FROM w WINDOW {windows}
+), f AS (
+    SELECT r, p, c, k3 IS NOT NULL AND count(*) OVER (PARTITION BY r, k3) > 1 AS f3, {later} FROM k
+), v AS (
+    SELECT r, c, {covered} FROM f
+), a AS (
+    SELECT r, count(*) AS n, sum(c) AS chars, count(*) FILTER (c3) AS n_repeat, {sums} FROM v GROUP BY r
+), l AS (
+    SELECT r, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d
+), e AS (
+    SELECT r, list_sum(list_transform(regexp_extract_all(line, '{_WORD}'), lambda x: length(x))) AS c, row_number() OVER (PARTITION BY r, line ORDER BY i) AS copy
+    FROM l WHERE regexp_matches(line, '{_WORD}')
+), b AS (
+    SELECT r, count(*) FILTER (copy > 1) AS n_dup, coalesce(sum(c) FILTER (copy > 1), 0) AS held FROM e GROUP BY r
+), m AS (
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(chars, 0)::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+        coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, coalesce(held, 0)::DOUBLE / greatest(coalesce(chars, 0), 1) AS dup_line_share,
+        {shares.replace("greatest(chars, 1)", "greatest(coalesce(chars, 0), 1)")}
+    FROM d LEFT JOIN a USING (r) LEFT JOIN b USING (r)
+), j AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+)
+SELECT *, NOT base_failed AND dup_line_share <= {line_share}::DOUBLE AND {passed} AS kept FROM j
+"""
