@@ -142,9 +142,11 @@ VIEWS: dict[str, str] = {
                COUNT(*) FILTER (is_delayed) / COUNT(*) AS delay_rate,
                COUNT(*) FILTER (is_cancelled) / COUNT(*) AS cancellation_rate
         FROM {{stg_flights}} GROUP BY ALL""",
+    # money is a double per flight before it is one per route
     "route_revenue": f"""
-        SELECT route_id, {total("fare_paid_usd")} AS total_revenue, {total("ancillary_revenue_usd")} AS total_ancillary
-        FROM {{stg_flights}} JOIN {{stg_bookings}} USING (flight_id) GROUP BY ALL""",
+        SELECT route_id, {total("fares")} AS total_revenue, {total("ancillaries")} AS total_ancillary
+        FROM {{stg_flights}} JOIN (SELECT flight_id, {total("fare_paid_usd")} AS fares, {total("ancillary_revenue_usd")} AS ancillaries
+                                   FROM {{stg_bookings}} GROUP BY flight_id) USING (flight_id) GROUP BY ALL""",
     "route_sentiment": f"""
         SELECT route_id, {mean("sentiment_score")} AS avg_sentiment, AVG(rating) AS avg_rating,
                COUNT(review_id) AS review_count, COUNT(*) FILTER (nps_category = 'promoter') AS promoters,
