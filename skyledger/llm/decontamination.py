@@ -14,12 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.durable import durable
+from skyledger.llm.durable import durable, split_join
 
 #: Between words stand all ASCII characters but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: So many terms are looked up in one pass over the corpus; a term is a word of a test item, so the table of a pass is small.
+#: So many terms, or places of terms in test items, are looked up in one pass over the corpus, about; it bounds the table
+#: that is sent to every executor.
 TERMS_A_PASS = 100_000
 
 
@@ -43,7 +44,8 @@ def _items(benchmark: DataFrame, width: int) -> DataFrame:
 
 def _in_passes(terms: DataFrame, look_up: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The union of look_up over blocks of terms, each small enough to be sent to every executor."""
-    blocks = -(-terms.count() // TERMS_A_PASS) or 1
+    load = terms.agg(F.sum(F.size("places") if "places" in terms.columns else F.lit(1))).first()[0] or 0
+    blocks = -(-load // TERMS_A_PASS) or 1
     if blocks == 1:
         return look_up(F.broadcast(terms))
     parts = [terms.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == i) for i in range(blocks)]
@@ -105,16 +107,21 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Da
     items = durable(_items(benchmark, width))
     terms = items.select(F.explode("words").alias("word")).select(F.lower("word").alias("term")).distinct()
     windows = durable(_anchors(items, durable(term_counts(docs, terms)), width))
-    places = F.collect_set(F.struct("item", "offset"))
-    ends = windows.select("item", F.explode(F.array("one", "two")).alias("a")).select("item", "a.offset", "a.term")
+    marked = F.array(F.struct("one", F.lit(True).alias("rarest")), F.struct(F.col("two").alias("one"), F.lit(False).alias("rarest")))
+    ends = windows.select("item", "length", F.inline(marked)).select("item", "length", "rarest", "one.offset", "one.term")
+    # only the rarest term of a window needs the words around it; in a window of one word it meets nothing else
+    ends = ends.groupBy("item", "offset", "term").agg(F.max("rarest").alias("rarest"), (F.min("length") == 1).alias("alone"))
+    places = F.collect_set(F.struct("item", "offset", "rarest", "alone"))
     anchors = durable(ends.groupBy("term").agg(places.alias("places")))
     found = postings(docs, anchors, width - 1)
     # shifted by the offset in the item, the postings of one occurrence agree in where the item would begin
     shifted = found.select("doc_id", "h", "position", "begin", "context", F.explode("places").alias("p"))
-    shifted = shifted.select("doc_id", "h", F.col("p.item").alias("item"), F.col("p.offset").alias("offset"), (F.col("position") - F.col("p.offset")).alias("shift"), "begin", "context")
+    near = F.when(F.col("p.rarest"), F.struct("begin", "context")).alias("near")
+    shifted = shifted.select("doc_id", "h", "p.item", "p.offset", "p.alone", (F.col("position") - F.col("p.offset")).alias("shift"), near)
     meeting = shifted.groupBy("doc_id", "h", "item", "shift").agg(
-        F.map_from_entries(F.collect_set(F.struct("offset", F.struct("begin", "context")))).alias("at")
+        F.map_from_entries(F.collect_set(F.struct("offset", "near"))).alias("at"), F.max("alone").alias("alone")
     )
+    meeting = meeting.filter("alone or cardinality(at) > 1").drop("alone")
     sought = windows.groupBy("item").agg(F.collect_list(F.struct("start", "length", F.col("one.offset").alias("r1"), F.col("two.offset").alias("r2"))).alias("windows"))
     sought = sought.join(items, "item").select("item", "ids", "words", "windows")
 
@@ -126,7 +133,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Da
         return both & F.when(both, (first >= 0) & same).otherwise(False)
 
     place = lambda w: F.struct((F.col("shift") + w["start"]).alias("start"), w["length"].alias("length"))
-    met = meeting.join(sought, "item").select("doc_id", "h", "item", "ids", "shift", F.transform(F.filter("windows", occurs), place).alias("matches"))
+    met = split_join(meeting, sought, ["item"]).select("doc_id", "h", "item", "ids", "shift", F.transform(F.filter("windows", occurs), place).alias("matches"))
     return met.filter("size(matches) > 0")
 
 
@@ -141,7 +148,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 20, sha
     each = items.select("item", F.explode(F.array_distinct("words")).alias("word")).select("item", F.lower("word").alias("term"))
     counts = durable(term_counts(docs, each.select("term").distinct()))
     rarest = each.join(counts, "term").groupBy("item").agg(F.min(F.struct("n", "term")).alias("least"))
-    anchors = rarest.select("item", F.col("least.term").alias("term")).groupBy("term").agg(F.collect_set(F.struct("item", F.lit(0).alias("offset"))).alias("places"))
+    anchors = rarest.select("item", F.col("least.term").alias("term")).groupBy("term").agg(F.collect_set(F.struct("item")).alias("places"))
     found = postings(docs, durable(anchors), slop).select("doc_id", "h", "position", "context", F.explode("places").alias("p"))
     near = found.withColumn("item", F.col("p.item")).join(items, "item")
     near = near.withColumn("n_near", F.size(F.array_intersect("context", "words")))
