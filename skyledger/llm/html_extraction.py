@@ -3,7 +3,8 @@
 Every piece of text hangs on a path of block elements from the root. Text length and punctuation are summed by path and
 set against the number of pieces: prose has long pieces with punctuation, menus have short ones without. The two ratios
 are smoothed over neighbouring paths, fused and cut at a threshold. The element that holds most of what passes is the
-article, and all its blocks are its text, short ones too, except those on paths that are marked as something else.
+article, and all its blocks are its text, short ones too, except those on paths that are marked as something else. A mark
+by name is lifted where the element turns out to be a layout around the article.
 """
 
 from __future__ import annotations
@@ -33,6 +34,13 @@ MARKS = re.compile(
     r"|sidebars?|side-?bar|rail|widgets?|menus?|navs?|navbar|navigation|breadcrumbs?|pagination|pager|footers?|mastheads?|topbar|toolbar|comments?|disqus|replies|respond"
     r"|related|recommend(?:ed|ations)?|share|sharing|social|subscribe|newsletters?|signup|login|search(?:box)?|copyright|complementary|contentinfo|banner)(?:$|[^a-z])"
 )
+#: Marks of what others say, which no share of the page makes the name of a layout.
+FOREIGN = re.compile(
+    r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|popups?|modals?|overlays?|comments?|disqus|replies|respond"
+    r"|related|recommend(?:ed|ations)?|subscribe|newsletters?|signup|copyright|contentinfo|footers?)(?:$|[^a-z])"
+)
+#: Elements apart by their kind that pages of forms put around all they hold.
+WRAPPERS = frozenset("form fieldset".split())
 #: An open p ends where one of these begins.
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dd dt td th tr".split())
 #: An open element of these kinds ends where another of its own set begins, within the nearest holder named last.
@@ -51,27 +59,45 @@ THRESHOLD = 0.25
 HELD = 0.8
 
 
+@dataclass(eq=False)
+class Mark:
+    """A mark that may turn out to name a layout: whether it is foreign, and whether it stands in an article or main."""
+
+    foreign: bool
+    within: bool
+    lifted: bool = False
+
+
 @dataclass
 class Piece:
-    """A block of text: its path, its text with raw white space, and how much of it is in links."""
+    """A block of text: its path, its text with raw white space, and how much of it is in links.
+
+    ``marks`` are those of the open elements, outermost first; ``main`` and ``article`` count the marks around the innermost
+    open element of that name (0 if there is none), and ``named`` numbers the innermost open one of both.
+    """
 
     path: tuple[str, ...]
     apart: bool
     text: list[str] = field(default_factory=list)
     linked: int = 0
+    marks: tuple[Mark, ...] = ()
+    main: int = 0
+    article: int = 0
+    named: int = 0
 
 
-def _marked(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element is by its kind or its marks no part of an article."""
-    if tag in APART or (tag == "header" and not inside_article):
+def _marked(tag: str, attributes: str, inside_article: bool) -> bool | Mark:
+    """Whether an element is by its kind or its marks no part of an article, or its mark if that may be lifted."""
+    if (tag in APART and tag not in WRAPPERS) or (tag == "header" and not inside_article):
         return True
+    marked, foreign = tag in WRAPPERS, False
     for name, value in ATTRIBUTES.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and NOT_SHOWN.search(value)):
             return True
         if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main") and MARKS.search(value):
-            return True
-    return False
+            marked, foreign = True, foreign or FOREIGN.search(value) is not None
+    return marked and Mark(foreign, inside_article)
 
 
 def _closer(tag: str) -> re.Pattern:
@@ -85,7 +111,8 @@ class _Reader:
     """The open elements of a page and the blocks of text read so far, tolerant of tags not closed or not opened."""
 
     def __init__(self):
-        self.open: list[tuple[str, bool]] = []  # tag, apart
+        self.open: list[tuple[str, bool | Mark, int]] = []  # tag, apart or its mark, number if an article or main
+        self.count = 0
         self.out: list[Piece] = []
         self.piece: Piece | None = None
         self.links = 0
@@ -94,18 +121,33 @@ class _Reader:
         if self.piece is None:
             if raw.isspace():
                 return
-            path = tuple(t for t, _ in self.open if t not in INLINE)
-            self.piece = Piece(path, any(a for _, a in self.open))
+            path = tuple(t for t, _, _ in self.open if t not in INLINE)
+            self.piece = Piece(path, any(a is True for _, a, _ in self.open))
+            if any(a for _, a, _ in self.open):
+                self.mark(self.piece)
+            elif "article" in path or "main" in path:
+                self.piece.named = next(n for _, _, n in reversed(self.open) if n)
             self.out.append(self.piece)
         decoded = html.unescape(raw) if "&" in raw else raw
         self.piece.text.append(decoded)
         if self.links:
             self.piece.linked += len(decoded)
 
+    def mark(self, piece: Piece) -> None:
+        """Tell a piece its marks, and which of them lie around its article or main."""
+        marks = []
+        for tag, apart, number in self.open:
+            if number:
+                piece.named = number
+                setattr(piece, tag, len(marks))
+            if isinstance(apart, Mark):
+                marks.append(apart)
+        piece.marks = tuple(marks)
+
     def cut(self, n: int) -> None:
         """Close the elements from the n-th on."""
         if self.links:
-            self.links -= sum(t == "a" for t, _ in self.open[n:])
+            self.links -= sum(t == "a" for t, _, _ in self.open[n:])
         del self.open[n:]
 
     def close(self, tag: str) -> None:
@@ -131,8 +173,10 @@ class _Reader:
             self.end_open(("p",), HOLDERS)
         if tag in ENDS_OWN:
             self.end_open(*ENDS_OWN[tag])
-        apart = (tag in APART or tag == "header" or bool(attributes)) and _marked(tag, attributes, any(t in ("article", "main") for t, _ in self.open))
-        self.open.append((tag, apart))
+        apart = (tag in APART or tag == "header" or bool(attributes)) and _marked(tag, attributes, any(n for _, _, n in self.open))
+        named = tag in ("article", "main")
+        self.count += named
+        self.open.append((tag, apart, self.count if named else 0))
         self.links += tag == "a"
 
 
@@ -173,6 +217,47 @@ def blocks(page: str) -> list[Piece]:
     return reader.out
 
 
+def lift(pieces: list[Piece]) -> None:
+    """Lift the marks that name a layout around the article, from the element with most text on; links count as no text.
+
+    A main element lifts every mark around it. So does an article with no less text than what has no mark, but several
+    articles in a foreign mark are comments or teasers, unless the page has no other text. An element without a foreign mark
+    that holds half of the page's text and HELD of what would then be read is a layout too, but not one beside an article
+    or main with text.
+    """
+    holds: dict[Mark, list[tuple[Piece, int]]] = {}
+    inside: dict[Mark, int] = {}
+    articles: dict[Mark, dict[int, int]] = {}
+    mains: set[Mark] = set()
+    total = rest = beside = 0
+    for p in pieces:
+        size = max(len(p.text[0]) - p.linked, 0)
+        total += size
+        if not p.marks:
+            rest += size
+            beside += size if p.named else 0
+        for k, m in enumerate(p.marks):
+            holds.setdefault(m, []).append((p, size))
+            inside[m] = inside.get(m, 0) + size
+            if p.main > k:
+                mains.add(m)
+            if p.article > k:
+                of = articles.setdefault(m, {})
+                of[p.named] = of.get(p.named, 0) + size
+    for m in sorted(holds, key=inside.get, reverse=True):
+        if not inside[m] or not all(o.lifted for o in holds[m][0][0].marks[: holds[m][0][0].marks.index(m)]):
+            continue
+        named = articles.get(m, {})
+        by_name = m in mains or (sum(named.values()) >= max(rest, 1) and (not m.foreign or len(named) == 1 or not rest))
+        by_size = not m.foreign and 2 * inside[m] >= total and inside[m] >= HELD * (inside[m] + rest) and (m.within or not beside)
+        if by_name or by_size:
+            m.lifted = True
+            for p, size in holds[m]:
+                if all(o.lifted for o in p.marks):
+                    rest += size
+                    beside += size if p.named else 0
+
+
 def path_ratios(pieces: list[Piece]) -> dict[tuple[str, ...], float]:
     """The fused ratio of every path of pieces with their text in one string: text length and punctuation a piece, smoothed over paths in order of appearance."""
     order: dict[tuple[str, ...], list[int]] = {}
@@ -195,6 +280,9 @@ def main_text(page: str | None) -> str:
     for p in pieces:
         p.text = [" ".join("".join(p.text).split())]
     pieces = [p for p in pieces if p.text[0]]
+    if any(p.marks for p in pieces):
+        lift(pieces)
+        pieces = [p for p in pieces if all(m.lifted for m in p.marks)]
     if not pieces:
         return ""
     ratios = path_ratios(pieces)

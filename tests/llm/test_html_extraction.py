@@ -26,6 +26,34 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+BODY = f"<h1>T</h1><p>{PROSE}</p><p>{PROSE}</p>"
+READ = f"T\n{PROSE.strip()}\n{PROSE.strip()}"
+SIDE = f"<div class='sidebar'><p>{PROSE}</p></div>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='content-sidebar-wrap'><main><article>{BODY}</article></main>{SIDE}</div>", READ),
+        (f"<div class='content-sidebar-wrap'><article>{BODY}</article>{SIDE}</div>", READ),
+        (f"<div class='layout has-sidebar'><div>{BODY * 2}</div>{SIDE}</div>", f"{READ}\n{READ}"),
+        (f"<div id='search'>{BODY}</div>", READ),
+        (f"<div class='wrap no-comments'><article>{BODY}</article></div><div>Some line.</div>", READ),
+        (f"<body><form action=x><nav><a href=x>Home</a></nav><div class='login'>Log in</div><div id=c>{BODY}</div><input></form>", READ),
+        (f"<form><div class='layout has-sidebar'><article>{BODY}</article>{SIDE}</div></form>", READ),
+        # marks that stay
+        (f"<div>{BODY}</div><div class='comments'><article>{PROSE * 9}</article><article>{PROSE * 9}</article></div>", READ),
+        (f"<div>{BODY}</div><div class='sidebar'><article>{PROSE}</article></div>", READ),
+        (f"<main>{BODY}</main><div class='sidebar'>{PROSE * 20}</div>", READ),
+        (f"<article>{BODY}<form>{PROSE}</form></article>", READ),
+        (f"<div hidden><main>{BODY}</main></div>", ""),
+        ("<div class='menu'><a href=x>One</a><a href=y>Two</a></div>", ""),
+    ],
+)
+def test_layouts_named_like_something_else_keep_their_text(page, text):
+    assert main_text(page) == text
+
+
 def test_generated_pages_give_their_article(table):
     import html
     import re
