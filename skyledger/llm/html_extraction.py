@@ -3,7 +3,8 @@
 Every piece of text hangs on a path of block elements from the root. Text length and punctuation are summed by path and
 set against the number of pieces: prose has long pieces with punctuation, menus have short ones without. The two ratios
 are smoothed over neighbouring paths, fused and cut at a threshold. The element that holds most of what passes is the
-article, and all its blocks are its text, short ones too, except those on paths that are marked as something else. A mark
+article, or the named article around it, or the outermost one whose further blocks pass as well. All blocks of the article
+are its text, short ones too, except those on paths that are marked as something else. A mark
 by name is lifted where the element turns out to be a layout around the article.
 """
 
@@ -28,6 +29,7 @@ APART = frozenset("nav footer aside form dialog menu fieldset".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var ruby rb rt rp".split())
 #: Elements that can hold an article.
 HOLDERS = frozenset("html body main article section div td table tbody tr center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id or role that mark something other than the article.
 MARKS = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
@@ -55,7 +57,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
 KERNEL = (0.25, 0.5, 0.25)
 #: A path is content if its fused ratio is at least this share of the mean over text, by length.
 THRESHOLD = 0.25
-#: The article is the innermost element that holds this share of the content.
+#: The article is looked for from the innermost element that holds this share of the content.
 HELD = 0.8
 
 
@@ -274,6 +276,37 @@ def path_ratios(pieces: list[Piece]) -> dict[tuple[str, ...], float]:
     return dict(zip(order, np.sqrt(fused * smooth)))
 
 
+def only_links(p: Piece, is_content: bool) -> bool:
+    """Whether a block is a list of links, which is text of an article element alone."""
+    return p.linked >= 0.8 * len(p.text[0]) and not is_content and "article" not in p.path
+
+
+def around(article: tuple[str, ...], pieces: list[Piece], content: np.ndarray) -> tuple[str, ...]:
+    """The path of the whole article from that of the element with most of its content.
+
+    This is the outermost article element on the path, or the innermost main if there is none. Elsewhere it is the outermost
+    holder to which every step up adds blocks that are, by length, at least half content or headings.
+    """
+    for name, order in (("article", article), ("main", article[::-1])):
+        if name in order:
+            at = order.index(name)
+            return article[: at + 1] if name == "article" else article[: len(article) - at]
+    # text and passing text that the parent at a depth adds to the next holder on the path
+    depths = [d for d in range(len(article)) if d == 0 or article[d - 1] in HOLDERS]
+    added = {d: [0, 0] for d in depths}
+    for p, is_content in zip(pieces, content):
+        common = next((k for k, (x, y) in enumerate(zip(article, p.path)) if x != y), min(len(article), len(p.path)))
+        if common < len(article) and not only_links(p, is_content):
+            entry = added[max(d for d in depths if d <= common)]
+            entry[0] += len(p.text[0])
+            entry[1] += len(p.text[0]) if is_content or (HEADINGS.intersection(p.path[common:]) and not p.linked) else 0
+    for d in reversed(depths):
+        if 2 * added[d][1] < added[d][0]:
+            break
+        article = article[:d]
+    return article
+
+
 def main_text(page: str | None) -> str:
     """The blocks of a page's article, each on a line, with single spaces and decoded references; empty if there are none."""
     pieces = [p for p in blocks(page or "") if not p.apart]
@@ -302,11 +335,11 @@ def main_text(page: str | None) -> str:
     if named and not any(t in ("article", "main") for t in article):
         # the article is named, but other text of the page outweighs it
         article = max(named, key=lambda p: (held[p], -len(p)))
+    article = around(article, pieces, content)
     depth = len(article)
     kept = []
     for p, is_content in zip(pieces, content):
-        only_links = p.linked >= 0.8 * len(p.text[0]) and not is_content and "article" not in p.path
-        if p.path[:depth] == article and not only_links:
+        if p.path[:depth] == article and not only_links(p, is_content):
             kept.append(p.text[0])
     return "\n".join(kept)
 

@@ -54,6 +54,27 @@ def test_layouts_named_like_something_else_keep_their_text(page, text):
     assert main_text(page) == text
 
 
+LONG = f"<p>{PROSE}</p>" * 9
+ALL = "\n".join(["T"] + [PROSE.strip()] * 10)
+MENU = "<div><a href=x>Home</a> <a href=y>Away</a></div>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body>{MENU}<article><h1>T</h1><p>{PROSE}</p><div class=body>{LONG}</div></article></body>", ALL),
+        (f"<main><div><h1>T</h1></div><p>{PROSE}</p>" + f"<section>{LONG[: len(LONG) // 3]}</section>" * 3 + "</main>", ALL),
+        (f"<article><h1>T</h1><p>{PROSE}</p><article><div>{LONG}</div></article></article>", ALL),
+        (f"<body>{MENU}<div><h1>T</h1><p>{PROSE}</p><div><div>{LONG}</div></div></div>{MENU}</body>", ALL),
+        (f"<body><div>{MENU}<div><h1>T</h1><div><p>{PROSE}</p>{LONG}</div></div></div></body>", ALL),
+        # what does not pass is not climbed to
+        (f"<body><div><div>Home</div><div>Some words on a line</div><div><div><div><h1>T</h1><p>{PROSE}</p>{LONG}</div></div></div></div>", ALL),
+    ],
+)
+def test_title_and_lede_outside_the_longest_part_are_kept(page, text):
+    assert main_text(page) == text
+
+
 def test_generated_pages_give_their_article(table):
     import html
     import re
