@@ -7,6 +7,8 @@ whole text of a document is looked up, and each of its lines.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ SPELLINGS = [
     (" merchantibility ", " merchantability "), (" per cent ", " percent "), (" gpl ", " gnu general public license "), (" gnu gnu ", " gnu "), (" by nc ", " by noncommercial "),
 ]
 #: All canonical forms of known texts contain one of these, so a text without them is not looked up.
-TRACES = ("licen", "under")
+TRACES = ("licen", "under", "permission", "warrant")
 
 #: Names of licenses as notices give them, by identifier.
 NAMES = {
@@ -42,20 +44,41 @@ NOTICES = [
     "this project is licensed under {}", "this software is licensed under {}", "this software is released under {}", "this document is licensed under {}",
     "licensed under the terms of {}", "released under the terms of {}", "license: {}",
 ]
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+)
+
+
+def _bsd(clauses: int, numbered: bool) -> str:
+    """The text of the BSD license with so many clauses, numbered or with signs before them."""
+    listed = [f"{k}. {c}" if numbered else f"* {c}" for k, c in enumerate(_BSD[1 : 1 + clauses], 1)]
+    return "\n".join([_BSD[0], *listed, _BSD[-1]])
+
+
 #: Short licenses in full.
 FULL = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD-2-Clause": _bsd(2, True),
+    "BSD-3-Clause": _bsd(3, True),
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
 }
+#: Other ways in which the same texts are set.
+VARIANTS = [("BSD-2-Clause", _bsd(2, False)), ("BSD-3-Clause", _bsd(3, False)), ("Unlicense", FULL["Unlicense"] + " For more information, please refer to <https://unlicense.org/>"), ("Unlicense", FULL["Unlicense"] + " For more information, please refer to <http://unlicense.org/>")]
+#: Titles of full texts, none among them.
+TITLES = ["", "{} License\n", "The {} License\n", "The {} License ({})\n"]
 
 
 def known_texts() -> list[tuple[str, str]]:
     """(license, text) of the notices that the names and forms above make, with and without a title of full texts."""
     out = [(i, form.format(name)) for i, names in NAMES.items() for name in names for form in NOTICES]
     out += [(i, f"SPDX-License-Identifier: {i}") for i in NAMES]
-    return out + [(i, f"{i} License\n{text}") for i, text in FULL.items()] + [(i, f"The {i} License\n{text}") for i, text in FULL.items()] + [
-        (i, f"The {i} License ({i})\n{text}") for i, text in FULL.items()
-    ]
+    return out + [(i, title.format(i, i) + text) for i, text in [*FULL.items(), *VARIANTS] for title in TITLES]
 
 
 def canonical(text: Column) -> Column:
@@ -75,7 +98,7 @@ def digest(text: Column) -> Column:
 
 def _may(text: Column) -> Column:
     """Whether a text can be a known one."""
-    return F.lower(text).contains(TRACES[0]) | F.lower(text).contains(TRACES[1])
+    return reduce(Column.__or__, [F.lower(text).contains(t) for t in TRACES])
 
 
 def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:

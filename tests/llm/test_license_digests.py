@@ -26,6 +26,13 @@ def test_texts_and_lines(spark, frame, text, whole, lines, names):
     assert (r["license"], r["n_license_lines"], r["licenses"]) == (whole, lines, names)
 
 
+@pytest.mark.parametrize("name, text", [*ld.FULL.items(), *ld.VARIANTS])
+def test_full_texts_without_a_title(spark, frame, name, text):
+    wrapped = "Copyright (c) 2020 Some One\nAll rights reserved.\n\n" + text.replace(". ", ".\n\n")
+    got = ld.scan(frame([(1, wrapped), (2, text + " And more.")], "doc_id long, text string"), ld.registry(spark)).collect()
+    assert [(r["license"], r["licenses"]) for r in sorted(got)] == [(name, name), (None, "")]
+
+
 def test_a_text_of_ones_own_can_be_registered(spark, frame):
     known = ld.registry(spark, [("House", "House license: do as you like")])
     assert ld.scan(frame([(1, "HOUSE LICENCE -- do as you like")], "doc_id long, text string"), known).first()["license"] == "House"
