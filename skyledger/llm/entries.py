@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
-    decontamination, html_extraction, labelled, license_digests, lsh_forest, oracles, pii_spans, quality_ftrl, rendezvous, repetition, source_mixing,
-    toxicity,
+    alignment, decontamination, html_extraction, labelled, license_digests, lsh_forest, merge_replay, oracles, pii_spans, quality_ftrl, ranked_search,
+    rendezvous, repetition, source_mixing, toxicity,
 )
 from skyledger.llm.durable import durable
 from skyledger.llm.shipping import ship
@@ -85,6 +86,27 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def _op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    ship(spark)
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), 10)
+
+
+def _op12(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    ship(spark)
+    return merge_replay.digests(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def _op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of all documents in two vocabularies, aligned."""
+    ship(spark)
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align(_table(spark, folder, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    return alignment.link_scores(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest, "links"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_tag_path_ratios": _op1,
@@ -97,6 +119,9 @@ def queries() -> dict[str, Query]:
         "op8_rendezvous": _op8,
         "op9_lsh_forest": _op9,
         "op10_decontamination": _op10,
+        "op11_geometric_blocks": _op11,
+        "op12_merge_replay": _op12,
+        "op13_token_alignment": _op13,
     }
 
 
@@ -108,4 +133,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_rendezvous": oracles.OP8,
         "op9_lsh_forest": oracles.OP9,
         "op10_decontamination": oracles.OP10,
+        "op11_geometric_blocks": oracles.OP11,
     }

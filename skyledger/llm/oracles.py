@@ -185,3 +185,31 @@ WITH d AS (
 )
 SELECT *, NOT base_failed AND dup_line_share <= {line_share}::DOUBLE AND {passed} AS kept FROM j
 """
+
+
+OP11 = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), q AS (
+    SELECT item_id, row_number() OVER () AS q, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark
+), s AS (
+    SELECT count(*) AS docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0
+), m AS (
+    SELECT doc_id, r, 100 - 75 + (75 * len(ts) * docs) // total AS m FROM d, s WHERE len(ts) > 0
+), qt AS (
+    SELECT q, t, count(*) AS c FROM (SELECT q, unnest(ts) AS t FROM q) GROUP BY q, t
+), p AS (
+    SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) SEMI JOIN qt USING (t) GROUP BY r, t
+), w AS (
+    SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM p GROUP BY t), s
+), i AS (
+    SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS worth FROM p JOIN w USING (t) JOIN m USING (r)
+), f AS (
+    SELECT q, r, sum(c * worth)::BIGINT AS score FROM qt JOIN i USING (t) GROUP BY q, r HAVING sum(c * worth) > 0
+), o AS (
+    SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM f JOIN m USING (r)
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o JOIN q USING (q) WHERE rank <= 10
+"""
