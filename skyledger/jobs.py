@@ -16,7 +16,6 @@ import posixpath
 from collections.abc import Iterator, Sequence
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators.enrich import enrich_customers, enrich_flights, loyalty_accrual, score_texts
@@ -24,21 +23,16 @@ from skyledger.plans.serving import reports
 from skyledger.plans.warehouse import MARTS, METRICS, Warehouse
 from skyledger.sources.schemas import RAW_TABLES
 from skyledger.sources.tables import export_tables, ingest_raw, read_raw, records, table_profile, write_csv, write_parquet
+from skyledger.sources.versions import read_stored
 
 TEXTS = {"customer_reviews": "review_text", "support_tickets": "ticket_text"}
 METRICS_DATABASE, MARTS_DATABASE = "main_intermediate", "main_marts"
 
 
 def open_tables(spark: SparkSession, location: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    """The Parquet tables found below a location; names without a folder are left out."""
-    found = {}
-    for name in names:
-        try:
-            found[name] = spark.read.parquet(posixpath.join(location, name))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return found
+    """The stored tables found below a location; names without one are left out."""
+    found = {name: read_stored(spark, posixpath.join(location, name)) for name in names}
+    return {name: df for name, df in found.items() if df is not None}
 
 
 def open_warehouse(spark: SparkSession, location: str) -> dict[str, DataFrame]:
@@ -56,7 +50,7 @@ def enrich(
     as_of: str | None = None,
     multi_line: bool = False,
     parquet: bool = False,
-    salts: int = 16,
+    salts: int = 1,
 ) -> list[str]:
     """Complete the customer and flight feeds and write all feeds, as CSV or as Parquet.
 
@@ -150,7 +144,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             job.add_argument("--multi-line", action="store_true", help="CSV with quoted line breaks; each file is one task")
         if name == "enrich":
             job.add_argument("--parquet", action="store_true", help="write Parquet, which keeps line breaks and splits")
-            job.add_argument("--salts", type=int, default=16, help="tasks that a frequent word of a large lexicon gets")
+            job.add_argument("--salts", type=int, default=1, help="tasks that a frequent word of a large lexicon gets from the outset")
         if name == "ingest":
             job.add_argument("--infer", action="store_true", help="infer types instead of the declared ones")
         if name in ("build", "export"):

@@ -48,6 +48,30 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """Make an empty file that does not exist yet."""
+    files, place = _file_system(spark, path)
+    files.create(place, False).close()
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """The names in a folder, with the time (seconds since 1970) each was last changed; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in files.listStatus(place)]
+
+
 def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
     """Put a finished folder in the place of ``path``; what was there goes only when the new one stands."""
     files, place = _file_system(spark, path)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from . import storage
 from .schemas import RAW_TABLES, read_schema
+from .versions import KEEP_HOURS, clustered, drop_superseded, publish, write_version
 
 # The tables an export consists of, in order.
 EXPORTED_TABLES = (
@@ -63,18 +64,21 @@ def read_raw(
     return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(path)
 
 
-def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{quoted}'" if location else ""))
+def quoted(*names: str) -> str:
+    """Names as one SQL identifier, whatever characters they hold."""
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
 
 
-def clustered(df: DataFrame, column: str | None) -> DataFrame:
-    """The frame with rows of a column's value together, so a folder gets few files; Spark splits large values."""
-    return df.hint("rebalance", F.col(column)) if column else df
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    path = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}" + (f" LOCATION '{path}'" if location else ""))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write a frame aside and put it in place when it is whole; returns it as stored."""
+    """Write a frame aside and put it in place when it is whole; returns it as stored.
+
+    For files that others read by their path. On an object store the move copies; tables are stored by ``replace_table``.
+    """
     spark, fresh = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}"
     writer = clustered(df, partition_by).write
     try:
@@ -86,25 +90,35 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     return spark.read.parquet(path)
 
 
+def _bind(spark: SparkSession, database: str, table: str, folder: str) -> None:
+    """Make a folder's files readable as ``database.table``, in one step of the catalog."""
+    name = quoted(database, table)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # stored before tables had versions
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.{quoted(folder)}")
+
+
 def replace_table(
-    df: DataFrame, database: str, table: str, location: str | None = None, partition_by: str | None = None
+    df: DataFrame,
+    database: str,
+    table: str,
+    location: str | None = None,
+    partition_by: str | None = None,
+    keep_hours: float = KEEP_HOURS,
 ) -> DataFrame:
     """Replace ``database.table`` by the frame and return the stored table; a failed write leaves the old one.
 
-    With a location the table is the folder of its name there.
+    The table is the folder of its name in ``location`` (that of the database if none is given), with a version for each
+    write. Readers of the path find the version through its marker, readers of the name through a view on its folder; both
+    are switched in one step each, when the version is whole, and meet the former version until then.
     """
-    spark, name = df.sparkSession, f"{database}.{table}"
-    if location is None:
-        writer = clustered(df, partition_by).write.mode("overwrite").format("parquet")
-        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
-        return spark.table(name)
-    path = posixpath.join(location, table)
-    stored = write_parquet(df, path, partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path, "parquet")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
-    return stored
+    spark = df.sparkSession
+    path = posixpath.join(location or spark.catalog.getDatabase(quoted(database)).locationUri, table)
+    folder = write_version(df, path, partition_by)
+    publish(spark, path, folder)
+    _bind(spark, database, table, folder)
+    drop_superseded(spark, path, keep_hours)
+    return spark.read.parquet(folder)
 
 
 def ingest_raw(

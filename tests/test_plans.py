@@ -209,6 +209,25 @@ def test_salts_spread_a_hot_word_when_the_lexicon_is_large(spark, no_broadcast):
     assert max(r["count"] for r in sizes.collect()) < 3000 / 2
 
 
+def test_words_meet_a_small_lexicon_in_their_task(spark):
+    texts = spark.range(100).select("id", F.lit("good grief").alias("body"))
+    small = spark.range(26).select(F.concat(F.lit("goo"), F.char(97 + F.col("id"))).alias("word"), F.lit(1.0).alias("polarity"))
+    text = plan(enrich.lexicon_sentiment(texts, small, "id", "body"))
+    assert re.search(r"BroadcastHashJoin \[word#\d+", text) and "Exchange hashpartitioning(word" not in text
+
+
+def test_only_words_of_a_large_lexicon_are_shuffled(spark, no_broadcast):
+    other = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: F.concat(F.lit("x"), F.char(97 + F.pmod(F.col("id") + i, F.lit(26))), F.char(97 + i % 26))), " ")
+    texts = spark.range(400).select("id", F.concat(other, F.lit(" wab wzz")).alias("body"))
+    lexicon = spark.range(26**2).select(F.concat(F.lit("w"), F.char(97 + F.col("id") / 26), F.char(97 + F.col("id") % 26)).alias("word"), F.lit(0.5).alias("polarity"))
+    passed = enrich.candidate_words(texts, lexicon, "id", "body")
+    assert 400 * 3 <= passed.count() < 400 * 4  # two words of the lexicon and the first of each text, of 52
+    scored = enrich.lexicon_sentiment(texts, lexicon, "id", "body")
+    text = plan(scored)
+    assert "BroadcastHashJoin" not in text and text.index("Exchange hashpartitioning(word") < text.index("Filter (coalesce((at#")
+    assert {tuple(r)[1:] for r in scored.collect()} == {(0.5, "positive")}
+
+
 def _word(i):
     """Word i of a text, spread over all words of the lexicon."""
     n = (F.col("id") * 31 + i * 17) % 676

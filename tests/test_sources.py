@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 import rows as R
 from skyledger import jobs
 from skyledger.plans.warehouse import Warehouse
-from skyledger.sources import storage, tables
+from skyledger.sources import storage, tables, versions
 from skyledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
 
 
@@ -214,7 +216,7 @@ def test_jobs_pass_on_texts_with_line_breaks(spark, frame, tmp_path, capsys, opt
     tables.write_csv(df, f"{source}/support_tickets.csv")
     jobs.main(["enrich", source, landing, "--multi-line", *options])
     jobs.main(["ingest", landing, raw, *([] if options else ["--multi-line"])])
-    got = spark.read.parquet(f"{raw}/support_tickets").select("ticket_text").collect()
+    got = versions.read_stored(spark, f"{raw}/support_tickets").select("ticket_text").collect()
     assert sorted(map(repr, got)) == sorted(map(repr, df.select("ticket_text").collect()))
 
 
@@ -224,7 +226,7 @@ def test_a_birth_date_that_is_no_date_becomes_null(spark, tmp_path):
     (tmp_path / "in" / "customers.csv").write_text("customer_id,segment,loyalty_tier,birth_date\nC1,Business,,not known\nC2,Budget,Gold,1990-01-01\n")
     jobs.enrich(spark, source, landing, "2024-12-31")
     jobs.ingest(spark, landing, raw)
-    got = {r["customer_id"]: (r["birth_date"], r["age"]) for r in spark.read.parquet(f"{raw}/customers").collect()}
+    got = {r["customer_id"]: (r["birth_date"], r["age"]) for r in versions.read_stored(spark, f"{raw}/customers").collect()}
     assert got == {"C1": (None, None), "C2": (dt.date(1990, 1, 1), 35.0)}
 
 
@@ -232,7 +234,7 @@ def test_ingest_can_infer_undeclared_columns(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "routes.csv").write_text("route_id,distance_km,opened\nR1,350,2024-01-05\n")
     jobs.main(["ingest", str(tmp_path / "in"), str(tmp_path / "raw"), "--infer"])
-    assert dict(spark.read.parquet(str(tmp_path / "raw" / "routes")).dtypes)["opened"] == "date"
+    assert dict(versions.read_stored(spark, str(tmp_path / "raw" / "routes")).dtypes)["opened"] == "date"
 
 
 def test_export_of_a_folder_without_tables(spark, tmp_path):
@@ -257,7 +259,8 @@ def test_folders_of_a_column_get_few_files_and_jobs_can_ask_for_them(spark, tmp_
         df.repartition(7).write.parquet(f"{raw}/{name}")
     jobs.main(["build", raw, warehouse, "--as-of", str(R.AS_OF), "--partition", "fact_bookings=flight_year"])
     jobs.main(["export", warehouse, out, "--partition", "fact_flights=flight_year"])
-    for top in (tmp_path / "wh" / jobs.MARTS_DATABASE / "fact_bookings", tmp_path / "out" / "fact_flights.parquet"):
+    stored = Path(versions.current(spark, f"{warehouse}/{jobs.MARTS_DATABASE}/fact_bookings"))
+    for top in (stored, tmp_path / "out" / "fact_flights.parquet"):
         years = [p for p in top.iterdir() if p.name.startswith("flight_year=")]
         assert years and all(len(list(y.glob("*.parquet"))) == 1 for y in years)
 
@@ -273,3 +276,105 @@ def test_texts_are_scored_row_by_row(frame):
 
 def test_declared_feeds():
     assert [len(RAW_COLUMNS[t]) for t in RAW_TABLES] == [7, 6, 14, 21, 12, 10, 11, 7]
+
+
+STEPS = ["make_folder", "make_file", "listed", "delete", "exists"]
+
+
+def _stored_values(spark, path, name):
+    """The values that a reader of the path and one of the name find; each table holds one value in every row."""
+    by_path = versions.read_stored(spark, path)
+    by_name = spark.table(name) if spark.catalog.tableExists(name) else None
+    return [None if df is None else (df.count(), *{r["a"] for r in df.select("a").collect()}) for df in (by_path, by_name)]
+
+
+def _killed_at(step, call):
+    """Run call, but stop it as a kill would at the step of that number; tells whether it got so far."""
+    done = 0
+
+    def counted(real):
+        def run(*args, **kwargs):
+            nonlocal done
+            done += 1
+            if done == step:
+                raise KeyboardInterrupt
+            return real(*args, **kwargs)
+
+        return run
+
+    with pytest.MonkeyPatch.context() as patch:
+        for name in STEPS:
+            patch.setattr(storage, name, counted(getattr(storage, name)))
+        patch.setattr(tables, "_bind", counted(tables._bind))
+        try:
+            call()
+        except KeyboardInterrupt:
+            return True
+    return False
+
+
+def test_a_writer_killed_between_any_two_steps_leaves_a_whole_table(spark, tmp_path):
+    tables.ensure_database(spark, "killed", str(tmp_path))
+    of = lambda a, extra: spark.range(50).select(F.lit(a).alias("a"), *([F.lit("x").alias("b")] if extra else []))
+    tables.replace_table(of(0, False), "killed", "t", str(tmp_path))
+    seen, step, last = set(), 1, 0
+    while _killed_at(step, lambda: tables.replace_table(of(step, step % 2 == 1), "killed", "t", str(tmp_path), keep_hours=0)):
+        by_path, by_name = _stored_values(spark, str(tmp_path / "t"), "killed.t")
+        assert by_path in ((50, last), (50, step)) and by_name in ((50, last), (50, step))
+        last = by_path[1]
+        seen.add((by_path[1] == step, by_name[1] == step))
+        tables.replace_table(of(last, False), "killed", "t", str(tmp_path))
+        step += 1
+    assert seen >= {(False, False), (True, False), (True, True)}
+    assert _stored_values(spark, str(tmp_path / "t"), "killed.t") == [(50, step), (50, step)]
+
+
+def test_a_first_writer_that_is_killed_leaves_no_table(spark, tmp_path):
+    tables.ensure_database(spark, "unborn", str(tmp_path))
+    versions.write_version(spark.range(3), str(tmp_path / "t"))
+    assert versions.read_stored(spark, str(tmp_path / "t")) is None
+    assert jobs.open_tables(spark, str(tmp_path), ["t", "other"]) == {}
+
+
+def test_readers_meet_a_whole_table_while_it_is_replaced(spark, tmp_path):
+    tables.ensure_database(spark, "busy", str(tmp_path))
+    of = lambda a: spark.range(1000).repartition(4).select(F.lit(a).alias("a"))
+    tables.replace_table(of(0), "busy", "t", str(tmp_path))
+    found, stop, failed = [], threading.Event(), []
+
+    def read():
+        try:
+            while not stop.is_set():
+                found.append(_stored_values(spark, str(tmp_path / "t"), "busy.t"))
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for a in range(1, 9):
+        tables.replace_table(of(a), "busy", "t", str(tmp_path))
+    stop.set()
+    reader.join()
+    assert not failed
+    assert len(found) > 2 and all(len(v) == 2 and v[0] == 1000 for both in found for v in both)
+
+
+def test_superseded_versions_go_after_their_time(spark, tmp_path):
+    tables.ensure_database(spark, "aged", str(tmp_path))
+    for a in range(3):
+        tables.replace_table(spark.range(a + 1), "aged", "t", str(tmp_path))
+    (tmp_path / "t" / "vleft").mkdir()
+    folders = lambda: [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]
+    assert len(folders()) == 4
+    versions.drop_superseded(spark, str(tmp_path / "t"), keep_hours=0)
+    assert [versions.current(spark, str(tmp_path / "t"))] == [str(tmp_path / "t" / f) for f in folders()]
+    assert versions.read_stored(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_names_that_are_words_of_sql_and_paths_with_odd_characters(spark, tmp_path):
+    where = str(tmp_path / "it's `odd`")
+    tables.ensure_database(spark, "order", where)
+    tables.replace_table(spark.range(2), "order", "table", where)
+    assert spark.table("`order`.`table`").count() == 2
+    tables.replace_table(spark.range(3), "order", "table")
+    assert spark.table("`order`.`table`").count() == 3
