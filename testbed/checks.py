@@ -353,10 +353,10 @@ def stored_feed(table: str) -> str:
 for _feed in RAW_FEEDS:
     VIEWS[f"stored_{_feed}"] = stored_feed(_feed)
 VIEWS["ingest_raw"] = " UNION ALL ".join(
-    contents_sql(f"stored_{t}").replace(f"'stored_{t}' AS", f"'{t}' AS") for t in RAW_FEEDS if t != "loyalty_activity"
-) + " UNION ALL SELECT 'loyalty_activity', 0, 'absent', 0, '0'"
+    contents_sql(f"stored_{t}").replace(f"'stored_{t}' AS", f"'{t}' AS") for t in RAW_FEEDS
+) + " UNION ALL SELECT 'fare_rules', 0, 'absent', 0, '0', '0'"
 VIEWS["export_tables"] = " UNION ALL ".join(contents_sql(t) for t in STORED_TABLES) + (
-    " UNION ALL SELECT 'dim_fare_families', 0, 'absent', 0, '0'"
+    " UNION ALL SELECT 'dim_fare_families', 0, 'absent', 0, '0', '0'"
 )
 VIEWS["grouped_summary"] = """
     SELECT revenue_total AS "réseau_revenue_total", marge_totale AS "réseau_marge_totale",
@@ -368,6 +368,12 @@ VIEWS["grouped_summary"] = """
            priorite_3 AS "recommandation_priorité_3"
     FROM {executive_summary}"""
 VIEWS["stamped_airports"] = f"SELECT airport_code AS airport_id, '{RUN_TS:%Y-%m-%d %H:%M:%S}' AS loaded_at FROM {{airports}}"
+VIEWS["views_in_sql"] = """
+    SELECT channel, flight_year, count(*) AS bookings, count(DISTINCT customer_id) AS customers
+    FROM {stg_bookings} JOIN {stg_flights} USING (flight_id) GROUP BY ALL"""
+VIEWS["report_records"] = "SELECT * FROM {upsell_by_segment}"
+VIEWS["customers_today"] = """
+    SELECT customer_id, (current_date - last_booking_date)::INTEGER AS days_since_last_booking FROM {int_customer_metrics}"""
 VIEWS["table_profile"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {_FEED_WIDTH[t]}::INTEGER AS column_count FROM {{{t}}}"
     for t in RAW_FEEDS

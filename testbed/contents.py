@@ -1,4 +1,4 @@
-"""What tables hold, in a form that Spark and DuckDB compute alike: a checksum of the values of every column."""
+"""What tables hold, in a form that Spark and DuckDB compute alike: checksums of every column and of whole rows."""
 
 from __future__ import annotations
 
@@ -9,35 +9,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A double is told exactly, in whole units and two times 52 bits, since engines write doubles differently. What is finer
+#: than 2^-104 is not told, and one of 2^62 or more stops the check.
+BITS = float(1 << 52)
+
 
 def _as_text(name: str, kind: T.DataType) -> Column:
-    """A value as text; of a double its thousandths, since engines write doubles differently."""
-    c = F.col(name)
-    return (F.floor(c * 1000.0).cast("bigint") if kind == T.DoubleType() else c).cast("string")
+    """A value as text, the same in both engines."""
+    c = F.col(f"`{name}`")
+    if kind != T.DoubleType():
+        return c.cast("string")
+    units = F.floor(c)
+    fine = (c - units) * BITS
+    finest = (fine - F.floor(fine)) * BITS
+    return F.concat_ws("/", *[x.cast("bigint").cast("string") for x in (units, F.floor(fine), F.floor(finest))])
+
+
+def _digest(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
 
 
 def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """For each column of each table the number of rows and values and the sum of the values' digests."""
+    """For each column of each table the number of rows and values and the sum of the values' digests, and for the table the
+    sum of the digests of whole rows, which changes if a value moves to another row."""
 
     def of(name: str, df: DataFrame) -> DataFrame:
-        each = []
-        for f in df.schema.fields:
-            text = _as_text(f.name, f.dataType)
-            digest = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
-            each.append(F.struct(F.lit(f.name).alias("column_name"), F.count(text).alias("value_count"), F.sum(digest).cast("string").alias("checksum")))
-        row = df.agg(F.count(F.lit(1)).alias("row_count"), F.array(*each).alias("each"))
-        return row.select(F.lit(name).alias("table_name"), "row_count", F.inline("each"))
+        texts = {f.name: F.when(F.col(f"`{f.name}`").isNotNull(), _as_text(f.name, f.dataType)) for f in df.schema.fields}
+        cells = df.select(*[c.alias(n) for n, c in texts.items()])
+        row = F.concat_ws("|", *[F.concat(F.lit(f"{n}="), F.coalesce(F.col(f"`{n}`"), F.lit("null"))) for n in sorted(texts)])
+        each = [
+            F.struct(F.lit(n).alias("column_name"), F.count(f"`{n}`").alias("value_count"), F.sum(_digest(F.col(f"`{n}`"))).cast("string").alias("checksum"))
+            for n in texts
+        ]
+        found = cells.agg(F.count(F.lit(1)).alias("row_count"), F.sum(_digest(row)).cast("string").alias("row_checksum"), F.array(*each).alias("each"))
+        return found.select(F.lit(name).alias("table_name"), "row_count", F.inline("each"), "row_checksum")
 
     return reduce(DataFrame.unionAll, [of(n, df) for n, df in tables.items()])
 
 
-def contents_sql(table: str, leave_out: tuple[str, ...] = ()) -> str:
+def contents_sql(table: str) -> str:
     """The same for one table, for DuckDB; ``{table}`` is left to be filled in."""
-    left_out = f" EXCLUDE ({', '.join(leave_out)})" if leave_out else ""
-    cell = f"COLUMNS(*{left_out})"
-    text = f"CASE WHEN typeof({cell}) = 'DOUBLE' THEN CAST(CAST(floor(TRY_CAST(CAST({cell} AS VARCHAR) AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR) ELSE CAST({cell} AS VARCHAR) END"
+    value = "TRY_CAST(CAST(COLUMNS(*) AS VARCHAR) AS DOUBLE)"
+    fine = f"(({value} - floor({value})) * {BITS}::DOUBLE)"
+    finest = f"(({fine} - floor({fine})) * {BITS}::DOUBLE)"
+    exact = " || '/' || ".join(f"CAST(CAST(floor({x}) AS BIGINT) AS VARCHAR)" for x in (value, fine, finest))
+    text = f"CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE' THEN {exact} ELSE CAST(COLUMNS(*) AS VARCHAR) END"
+    total = lambda x: f"CAST(SUM(CAST(CAST('0x' || substr(md5({x}), 1, 12) AS BIGINT) AS HUGEINT)) AS VARCHAR)"
+    cells = f"(SELECT * FROM (SELECT row_number() OVER () AS row_number_, * FROM (SELECT {text} FROM {{{table}}})) UNPIVOT INCLUDE NULLS (value FOR column_name IN (COLUMNS(* EXCLUDE (row_number_)))))"
+    whole = f"SELECT string_agg(column_name || '=' || coalesce(value, 'null'), '|' ORDER BY column_name) AS whole FROM {cells} GROUP BY row_number_"
     return f"""
-        SELECT '{table}' AS table_name, COUNT(*) AS row_count, column_name, COUNT(value) AS value_count,
-               CAST(SUM(CAST(CAST('0x' || substr(md5(value), 1, 12) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS checksum
-        FROM (SELECT {text} FROM {{{table}}}) cells UNPIVOT INCLUDE NULLS (value FOR column_name IN (COLUMNS(*)))
-        GROUP BY column_name"""
+        SELECT '{table}' AS table_name, COUNT(*) AS row_count, column_name, COUNT(value) AS value_count, {total("value")} AS checksum,
+               (SELECT {total("whole")} FROM ({whole})) AS row_checksum
+        FROM {cells} GROUP BY column_name"""

@@ -1,9 +1,11 @@
 """Every registered query against its check statement, in whole tables of two generated sizes."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as registry
 from compare import connect, duck_rows, spark_rows
+from testbed.contents import contents, contents_sql
 
 FOLDERS = ("/root/testdata/sf0.001", "/root/testdata/sf0.01")
 
@@ -15,7 +17,7 @@ def tables(request):
 
 def test_every_query_has_a_check():
     assert set(registry.warehouse_queries()) <= set(registry.oracle_sql())
-    assert len(registry.warehouse_queries()) == 41
+    assert len(registry.warehouse_queries()) == 44
 
 
 @pytest.mark.parametrize("name", list(registry.warehouse_queries()))
@@ -28,5 +30,22 @@ def test_matches_check(spark, tables, name):
     assert got[1] == want[1]
 
 
+def test_contents_tell_where_values_stand(spark):
+    told = lambda rows: sorted(tuple(r) for r in contents({"t": spark.createDataFrame(rows, "a int, x double, s string")}).collect())
+    rows = [(1, 0.5, "p"), (2, 1e-9, "q"), (3, None, None), (4, -7.25, "")]
+    assert told(rows) == told(rows[::-1])
+    swapped = [(1, 1e-9, "p"), (2, 0.5, "q"), *rows[2:]]
+    assert [r[:-1] for r in told(swapped)] == [r[:-1] for r in told(rows)] and told(swapped) != told(rows)
+    for changed in ((2, 1.0000000000000002e-9, "q"), (2, 1e-9 + 1e-12, "q"), (2, None, "q")):
+        assert told([rows[0], changed, *rows[2:]]) != told(rows)
+
+
+def test_contents_are_told_alike(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES (1, 0.1::DOUBLE, 'p|', DATE '2024-01-05'), (2, -1e-20::DOUBLE, NULL, NULL), (3, 123456789.987654321::DOUBLE, '', DATE '1999-12-31')) v(a, x, s, d)")
+    df = spark.createDataFrame([tuple(r) for r in con.execute("SELECT * FROM t").fetchall()], "a int, x double, s string, d date")
+    assert spark_rows(contents({"t": df})) == duck_rows(con, contents_sql("t").replace("{t}", "t"))
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 25
