@@ -23,8 +23,8 @@ from skyledger.llm.byte_pairs import Merges, encode_run, tokenizers_classes
 from skyledger.llm.durable import durable, split_join
 from skyledger.llm.merge_replay import read_file
 
-#: Texts are aligned in blocks of about this size; a longer text is a block.
-BLOCK_BYTES = 4 << 20
+#: Texts are encoded on side a in blocks of about this size, and aligned in smaller ones; a longer text is a block.
+ENCODED_BYTES, ALIGNED_BYTES = 4 << 20, 1 << 19
 
 
 class _Pieces:
@@ -99,19 +99,24 @@ def _aligner(sent, names: list[str]):
         merges, pieces = Merges.from_json(vocabulary), _Pieces(model)
         numbers = pa.array([str(i) for i in range(max(len(merges.tokens), len(pieces.tokens)))], pa.string())
         for batch in batches:
-            for run in ta.runs(batch.column("text"), BLOCK_BYTES):
-                texts = batch.column("text").slice(run.first, run.count).cast(pa.large_string()).fill_null("")
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.count), *_aligned(texts, merges, classes, pieces, numbers)], names=names)
+            for run in ta.runs(batch.column("text"), ENCODED_BYTES):
+                texts = batch.column("text").slice(run.first, run.count).fill_null("")
+                spaced = pc.binary_join_element_wise("", texts, " ")
+                ids, begins = encode_run(merges, next(ta.runs(spaced, 1 << 62)), classes)
+                for part in ta.runs(texts, ALIGNED_BYTES):
+                    at = slice(part.first, part.first + part.count)
+                    edges = begins[part.first : part.first + part.count + 1]
+                    side = _Side(ids[edges[0] : edges[-1]], edges - edges[0], merges.tokens)
+                    docs = batch.column("doc_id").slice(run.first + part.first, part.count)
+                    yield pa.RecordBatch.from_arrays([docs, *_aligned(texts[at], spaced[at], side, pieces, numbers)], names=names)
 
     return align_all
 
 
-def _aligned(texts: pa.Array, merges: Merges, classes: np.ndarray, pieces: _Pieces, numbers: pa.Array) -> list[pa.Array]:
-    """n_a, n_b, n_groups, groups and links of some texts."""
+def _aligned(texts: pa.Array, spaced: pa.Array, a: _Side, pieces: _Pieces, numbers: pa.Array) -> list[pa.Array]:
+    """n_a, n_b, n_groups, groups and links of some texts, which ``spaced`` has with a blank before each."""
     n = len(texts)
-    spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string()))
-    whole = next(ta.runs(spaced, 1 << 62))
-    a, b = _Side(*encode_run(merges, whole, classes), merges.tokens), _Side(*pieces.encode(texts.to_pylist()), pieces.tokens)
+    b = _Side(*pieces.encode(texts.to_pylist()), pieces.tokens)
     full = pc.not_equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     good = full & a.same(spaced) & b.same(spaced)
     left, right = a.kept(good), b.kept(good)
