@@ -24,7 +24,7 @@ from skyledger.llm.durable import durable, split_join
 from skyledger.llm.merge_replay import read_file
 
 #: Texts are encoded on side a in blocks of about this size, and aligned in smaller ones; a longer text is a block.
-ENCODED_BYTES, ALIGNED_BYTES = 4 << 20, 1 << 19
+ENCODED_BYTES, ALIGNED_BYTES = 8 << 20, 1 << 19
 
 
 class _Pieces:
