@@ -7,7 +7,9 @@ signature. Documents with a long common prefix in a tree stand together there an
 A first pass compares every document with the first one of its regions, which joins most of a crowd of copies. A second
 one looks only at regions that still hold several groups, and there only at pairs of different groups. How deep their
 prefix has to be is settled region by region: a small region is compared in full, a crowded one with its first document,
-and is then parted by longer prefixes until it is small. Every link is confirmed on the full shingle sets.
+and is then parted by longer prefixes until it is small. What is still crowded by several groups after that is finished
+exactly: its documents are dealt to blocks by group and size, and every two blocks that can hold a link are multiplied as
+matrices of shingles. Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ FULL_REGION = 24
 #: Pairs whose signatures agree in fewer digits than this share of the required similarity are not compared: more than
 #: five standard deviations of the estimate below what a true link shows.
 ESTIMATE_SHARE = 0.7
+#: Documents that a block of a crowd is meant to hold, and shingles of one step of the product of two blocks.
+BLOCK, STEP = 128, 8192
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -96,6 +100,46 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _overlaps(left: pa.StructArray, right: pa.StructArray) -> np.ndarray:
+    """The sizes of the intersections of all sets of one block with all of another."""
+    sides = []
+    for block in (left, right):
+        sets = block.flatten()[block.type.get_field_index("shingles")]
+        sides.append((np.repeat(np.arange(len(sets)), sets.value_lengths().to_numpy()), sets.flatten().to_numpy()))
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    total = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(shared), STEP):
+        some = shared[first : first + STEP]
+        parts = []
+        for (row, shingle), block in zip(sides, (left, right)):
+            at = np.minimum(np.searchsorted(some, shingle), len(some) - 1)
+            held = some[at] == shingle
+            matrix = np.zeros((len(block), len(some)), np.float32)
+            matrix[row[held], at[held]] = 1
+            parts.append(matrix)
+        total += parts[0] @ parts[1].T
+    return total.astype(np.int64)
+
+
+def _multiplier(per_cent: int):
+    """Maps pairs of blocks to the links (u < v) between documents of different groups."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                left, right = (batch.column(c)[r].values for c in ("left", "right"))
+                (node_a, group_a, n_a), (node_b, group_b, n_b) = (
+                    [dict(zip((f.name for f in b.type), b.flatten()))[c].to_numpy() for c in ("node", "group", "n")] for b in (left, right)
+                )
+                need = -(-per_cent * (n_a[:, None] + n_b[None, :]) // (100 + per_cent))
+                found = (_overlaps(left, right) >= need) & (group_a[:, None] != group_b[None, :])
+                i, j = np.nonzero(found)
+                u, v = np.minimum(node_a[i], node_b[j]), np.maximum(node_a[i], node_b[j])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    return links
+
+
 def _prefix(depth: int) -> Column:
     """A key of the first digits of the signature as the tree ``t`` orders them."""
     at = F.col("t") * (4 * DIGITS // TREES)
@@ -164,6 +208,40 @@ class _Forest:
         pairs = full.select(F.col("node").alias("a"), F.col("other").alias("b"))
         return pairs.unionByName(first.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
 
+    def crowd_links(self, groups: DataFrame) -> DataFrame | None:
+        """All links between different groups of a crowd; None if there is no crowd.
+
+        Crowds are what crowded regions of several groups join together. A group of at least BLOCK documents of about one
+        size gets blocks of its own, which are not held against each other, and the rest shares blocks. Sizes are cut into
+        steps by the similarity, so that links lie within a step or between neighbouring ones.
+        """
+        named = split_join(self.rows.drop("first"), groups, ["node"], "left")
+        rows = named.select("t", F.lit(FIRST_DEPTH).alias("depth"), "key", "node", F.coalesce("component", "node").alias("group"))
+        crowded = durable(self._with_regions(rows).filter(F.col("n") > FULL_REGION).select("node", "group", "first"))
+        if crowded.isEmpty():
+            return None
+        crowds = connected_components(crowded.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct())
+        step = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * np.log(100 / self.per_cent))).cast("int")
+        members = split_join(crowds.withColumnRenamed("component", "crowd"), crowded.select("node", "group").distinct(), ["node"])
+        members = split_join(members, self.sets, ["node"]).withColumn("n", F.size("shingles").cast("long")).withColumn("step", step)
+        members = durable(members)
+        place = ["crowd", "step", "group"]
+        sizes = members.groupBy(*place).agg(F.count("*").alias("in_group")).withColumn("own", F.when(F.col("in_group") >= BLOCK, F.col("group")))
+        shared = sizes.groupBy("crowd", "step", "own").agg(F.sum("in_group").alias("in_blocks")).withColumnsRenamed({"crowd": "_crowd", "step": "_step", "own": "_own"})
+        same = (F.col("crowd") == F.col("_crowd")) & (F.col("step") == F.col("_step")) & F.col("own").eqNullSafe(F.col("_own"))
+        dealt = sizes.join(shared, same).select(*place, "own", "in_blocks")
+        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("in_blocks") / BLOCK))
+        entry = F.struct("node", "group", "n", "shingles")
+        blocks = split_join(members, dealt, place).groupBy("crowd", "step", "own", part.alias("part")).agg(F.collect_list(entry).alias("held"))
+        blocks = durable(blocks.withColumn("block", F.xxhash64("crowd", "step", "own", "part")))
+        heads = blocks.select("crowd", "step", "own", "block")
+        near = heads.select("crowd", F.explode(F.array(F.col("step") - 1, F.col("step"))).alias("step"), F.col("step").alias("of"), F.col("own").alias("other"), F.col("block").alias("second"))
+        pairs = split_join(heads, near, ["crowd", "step"]).filter("(of > step or block <= second) and not coalesce(own = other, false)")
+        contents = blocks.select("block", F.col("held").alias("left"))
+        both = split_join(pairs.select("block", "second"), contents, ["block"])
+        both = split_join(both, contents.select(F.col("block").alias("second"), F.col("left").alias("right")), ["second"])
+        return both.select("left", "right").mapInArrow(_multiplier(self.per_cent), "u long, v long").distinct()
+
     @staticmethod
     def _with_regions(rows: DataFrame) -> DataFrame:
         """The rows of regions that hold several groups, with the region's first document, that one's group and the size."""
@@ -192,10 +270,14 @@ class _Forest:
         links = durable(self.confirmed(tried))
         groups = connected_components(links)
         pairs = durable(split_join(self.candidates(groups), tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            return groups
-        more = durable(self.confirmed(pairs))
-        return groups if more.isEmpty() else connected_components(links.unionByName(more))
+        if not pairs.isEmpty():
+            more = durable(self.confirmed(pairs))
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                groups = connected_components(links)
+        last = self.crowd_links(groups)
+        last = durable(last) if last is not None else None
+        return groups if last is None or last.isEmpty() else connected_components(links.unionByName(last))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:

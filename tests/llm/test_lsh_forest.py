@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from skyledger.llm import lsh_forest
 from skyledger.llm.components import connected_components
 from skyledger.llm.lsh_forest import near_duplicates, without_duplicates
 
@@ -31,6 +32,30 @@ def plain(rows, per_cent, width):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
+def plain_by_bits(rows, per_cent, width):
+    """Components over all pairs, with sets as bits of whole numbers."""
+    places, bits = {}, {}
+    for doc_id, text in rows:
+        w = text.split()
+        bits[doc_id] = sum(1 << places.setdefault(s, len(places)) for s in {tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))})
+    size = {i: b.bit_count() for i, b in bits.items()}
+    parent = {i: i for i in bits}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(bits)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            shared = (bits[a] & bits[b]).bit_count()
+            if 100 * shared >= per_cent * (size[a] + size[b] - shared):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (size[i], root(i)) for i in ids}
+
+
 def crowd(seed):
     """Families of texts: copies, light and heavy edits, chains of edits, and a passage that all families share."""
     dice = random.Random(seed)
@@ -65,6 +90,30 @@ def test_generated_documents_equal_all_pairs(table):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(rows, 85, 3)
 
 
+def loose_family(size, seed, length=300, swaps=7):
+    """Edits of one text that are mostly below the similarity of a link to each other, and some above."""
+    dice = random.Random(seed)
+    base = [f"w{i}" for i in range(length)]
+    rows = []
+    for i in range(size):
+        own = list(base)
+        for at in dice.sample(range(length // 3), dice.randint(swaps - 2, swaps)):
+            own[at] = f"x{dice.randrange(3)}of{at}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [16, 128])
+def test_a_crowd_of_loose_copies_equals_all_pairs(frame, monkeypatch, block):
+    monkeypatch.setattr(lsh_forest, "BLOCK", block)
+    rows = loose_family(700, 3, swaps=9) + [(5000 + i, t) for i, t in enumerate(["same text in a crowd " * 9] * 40)]
+    rows += [(6000 + i, rows[0][1].replace("w250", f"y{i}")) for i in range(150)]
+    got = near_duplicates(frame(rows, "doc_id long, text string"), 0.85, 3).collect()
+    want = plain_by_bits(rows, 85, 3)
+    assert 50 < sum(root != i for i, (_, root) in want.items()) < 700
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_awkward_rows(awkward):
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_duplicates(awkward, 0.85, 3).collect()}
     assert got[2, 0] == (2, True) and got[3, 0] == (3, True) and got[4, 0] == (4, True)
