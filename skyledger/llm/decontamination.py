@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.durable import durable, split_join
@@ -80,12 +80,14 @@ def _anchors(items: DataFrame, counts: DataFrame, width: int) -> DataFrame:
     return ranked.select("item", "start", "length", first.alias("one"), second.alias("two"))
 
 
-def postings(docs: DataFrame, anchors: DataFrame, around: int) -> DataFrame:
+def postings(docs: DataFrame, anchors: DataFrame, around: int | Column) -> DataFrame:
     """The index: a row for each place where an anchor term stands in a training text.
 
     anchors has a term and the places (item, offset) it is looked for at. A row has the document (doc_id, h), the
-    position of the term, up to ``around`` words on either side of it (context, from position ``begin``) and the places.
+    position of the term, up to ``around`` words on either side of it (context, from position ``begin``) and the places;
+    ``around`` may be a column of anchors.
     """
+    around = around if isinstance(around, Column) else F.lit(around)
     each = _documents(docs).select("doc_id", "h", "words", F.posexplode("words").alias("position", "word"))
     each = each.withColumn("term", F.lower("word"))
     begin = F.greatest(F.col("position") - around, F.lit(0))
@@ -140,19 +142,27 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> Da
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 20, share: float = 0.8) -> DataFrame:
     """Documents that hold most words of an item close together, in any order.
 
-    A row for each document (doc_id, h), item (ids) and position at which the item's rarest term stands with at least
-    ``share`` of the item's different words among the ``slop`` words on either side; n_near counts them. An item whose
-    rarest term no document has is not found; null and empty texts match nothing.
+    A row for each document (doc_id, h), item (ids) and position at which one of the item's rarest words stands with at
+    least ``share`` of the item's different words within reach, itself included; n_near counts them. The reach on either
+    side is ``slop`` words, or the length of the item if it is longer, so a copy is found whatever its length. A passage
+    with the share of an item must hold one of its rarest words, if so many are taken that the others are too few for the
+    share; all of them are looked up. Null and empty texts match nothing.
     """
-    items = durable(_items(benchmark, 1))
-    each = items.select("item", F.explode(F.array_distinct("words")).alias("word")).select("item", F.lower("word").alias("term"))
+    items = durable(_items(benchmark, 1).withColumn("different", F.array_distinct("words")))
+    need = F.ceil(F.lit(share) * F.size("different") - 1e-9).cast("int")
+    items = durable(items.withColumns({"need": F.greatest(need, F.lit(1)), "reach": F.greatest(F.size("words"), F.lit(slop))}))
+    each = items.select("item", "need", "reach", F.size("different").alias("n_words"), F.explode("different").alias("word"))
+    each = each.withColumn("term", F.lower("word"))
     counts = durable(term_counts(docs, each.select("term").distinct()))
-    rarest = each.join(counts, "term").groupBy("item").agg(F.min(F.struct("n", "term")).alias("least"))
-    anchors = rarest.select("item", F.col("least.term").alias("term")).groupBy("term").agg(F.collect_set(F.struct("item")).alias("places"))
-    found = postings(docs, durable(anchors), slop).select("doc_id", "h", "position", "context", F.explode("places").alias("p"))
-    near = found.withColumn("item", F.col("p.item")).join(items, "item")
-    near = near.withColumn("n_near", F.size(F.array_intersect("context", "words")))
-    near = near.filter(F.col("n_near") >= F.lit(share) * F.size(F.array_distinct("words")))
+    rarity = Window.partitionBy("item").orderBy(F.coalesce("n", F.lit(0)), "word")
+    rarest = each.join(counts, "term", "left").withColumn("r", F.row_number().over(rarity)).filter("r <= n_words - need + 1 and n is not null")
+    anchors = rarest.groupBy("term").agg(F.collect_set(F.struct("item", "reach", "need", "word")).alias("places"), F.max("reach").alias("around"))
+    found = postings(docs, durable(anchors), F.col("around")).select("doc_id", "h", "position", "begin", "context", F.explode("places").alias("p"))
+    first = F.greatest(F.col("position") - F.col("p.reach"), F.lit(0)) - F.col("begin")
+    own = F.slice("context", first + 1, F.col("position") - F.col("begin") - first + 1 + F.col("p.reach"))
+    near = found.select("doc_id", "h", "position", own.alias("near"), F.col("p.item").alias("item"), F.get("context", F.col("position") - F.col("begin")).alias("at"), F.col("p.word").alias("word"))
+    near = split_join(near.filter("at = word"), items.select("item", "ids", "different", "need"), ["item"])
+    near = near.withColumn("n_near", F.size(F.array_intersect("near", "different"))).filter("n_near >= need")
     return near.select("doc_id", "h", "item", "ids", "position", "n_near").distinct()
 
 

@@ -34,10 +34,26 @@ def _op1(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extract(_table(spark, folder, "pages"))
 
 
+def _mix(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.col("text")
+    docs = _table(spark, folder, "documents").select("doc_id", "source", source_mixing.word_count(text).alias("size"), source_mixing.text_key(text).alias("key"))
+    return source_mixing.plan(durable(docs), ties=["key"])
+
+
+def _mix_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every time the mix takes a document, with the block it begins in and the shard that drew this block."""
+    return _mix(spark, folder).select("doc_id", "source", F.inline("takes"))
+
+
+def _proximity(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold most words of a benchmark item close together."""
+    found = decontamination.proximity_matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.groupBy("doc_id", "h", F.array_join("ids", ",").alias("items")).agg(F.max("n_near").alias("n_near"), F.count("*").alias("n_places")).drop("h")
+
+
 def _op2(spark: SparkSession, folder: str) -> DataFrame:
     """How often and how far the mix of all documents takes each of them."""
-    docs = _table(spark, folder, "documents").select("doc_id", "source", source_mixing.word_count(F.col("text")).alias("size"))
-    planned = source_mixing.plan(durable(docs))
+    planned = _mix(spark, folder)
     return planned.select("doc_id", "size", "source_size", "target", source_mixing.words_taken(F.col("takes")).alias("taken"))
 
 
@@ -52,7 +68,7 @@ def _op4(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     held_out = labelled.remainder(F.col("doc_id"), 4) == 2
     scored = toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"), held_out)
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return scored.select("doc_id", "held_out", "score", "predicted", "rejected")
 
 
 def _op5(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,6 +138,8 @@ def queries() -> dict[str, Query]:
         "op11_geometric_blocks": _op11,
         "op12_merge_replay": _op12,
         "op13_token_alignment": _op13,
+        "mix_shards": _mix_shards,
+        "benchmark_proximity": _proximity,
     }
 
 

@@ -20,16 +20,19 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_cl
     ``per_class`` documents of each class, in a stable pseudo-random order.
 
     The ids are chosen among the labels first, so the sample has a fixed bound and is sent to the documents, not they to
-    it. Labels without doc_id or value are not used; nor are documents without a text.
+    it. Of rows that repeat a doc_id, labels count once for each value, and of documents one text is taken, the same in
+    every run. Labels without doc_id or value are not used; nor are documents without a text.
     """
-    known = labels.filter(learn & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y"))
+    known = labels.filter(learn & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     known = known.withColumn("r", rank("learn", F.col("doc_id")))
     chosen = [known.filter(F.col("y") == y).orderBy("r", "doc_id").limit(per_class) for y in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1]).select(F.col("doc_id").alias("_id"), "y", "r")
     texts = docs.filter("text is not null").select(
         "doc_id", F.col("text").cast("string").alias("text"), (F.col(with_column) if with_column in docs.columns else F.lit(None)).cast("string").alias("more")
     )
-    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("r", "doc_id", "y", "text", "more").toPandas()
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    one = F.min_by(F.struct("text", "more"), F.struct(F.xxhash64("text"), F.length("text"), "more")).alias("one")
+    rows = found.groupBy("r", "doc_id", "y").agg(one).select("r", "doc_id", "y", "one.text", "one.more").toPandas()
     rows = rows.sort_values(["r", "doc_id", "y", "text"])
     found = rows["text"].tolist(), rows["y"].to_numpy(np.int64)
     return found if with_column is None else (*found, rows["more"].where(rows["more"].notna(), None).tolist())

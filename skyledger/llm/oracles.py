@@ -8,7 +8,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 OP2 = rf"""
 WITH d AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents
+    SELECT doc_id, source, md5(coalesce(text, '')) AS k, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size FROM documents
 ), s AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
@@ -26,7 +26,7 @@ WITH d AS (
 ), p AS (
     SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS quota,
         coalesce(sum(d.size) OVER (PARTITION BY d.source
-            ORDER BY substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 1, 13), d.doc_id, d.size
+            ORDER BY substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '') || '|' || d.k), 1, 13), d.doc_id, d.k, d.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )

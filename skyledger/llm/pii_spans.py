@@ -103,13 +103,16 @@ SPELLED = {
     "0": "zero oh null cero zéro", "1": "one eins uno un une", "2": "two zwei zwo dos deux", "3": "three drei tres trois", "4": "four vier cuatro quatre",
     "5": "five fünf cinco cinq", "6": "six sechs seis", "7": "seven sieben siete sept", "8": "eight acht ocho huit", "9": "nine neun nueve neuf",
 }
-# Last labels of domain names that people spell out.
+# Last labels of domain names that follow a dot spelled by a word that prose has too ("at some point last").
 LAST_LABELS = frozenset("com org net edu gov mil int info biz io co ai app dev me eu uk us ca au de fr es it nl be ch at pl se no dk fi pt ie mx br ar jp cn in example test".split())
+# Words before a spelled dot that make it a plain word ("look at the dot on").
+NO_HOSTS = frozenset("the a an this that each every one some any no which its his her their our my your".split())
 DIGIT_OF = {name: digit for digit, names in SPELLED.items() for name in names.split()}
 
 _NAMED = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
-_GAP = r"(?:[\x20\t]*[-,.][\x20\t]*|[\x20\t]+)"
-#: A run of at least this many named or written digits, most of them named, is a number; fewer are plain words.
+_GAP = r"(?:[\x20\t]*[-,.()][\x20\t]*|[\x20\t]+)"
+#: A run of at least this many named digits is a number. Fewer are plain words, unless the run is a phone number with its
+#: plus sign or has the digits of a card, written ones counted.
 LEAST_NAMED = 3
 _DIGITS = re.compile(rf"(?<![^\W_])(?:(?:plus|más|mas){_GAP})?(?:\+[\x20]?)?(?:{_NAMED}|[0-9]+)(?:{_GAP}(?:{_NAMED}|[0-9]+))+(?![^\W_])", re.I)
 _A_DIGIT = re.compile(rf"({_NAMED})|([0-9]+)", re.I)
@@ -125,13 +128,21 @@ _SPOKEN = re.compile(
     r"[A-Za-z0-9-]+(?P<rest>(?:(?:\.|\x20\.\x20|\x20(?:dot|punkt|punto|point)\x20)[A-Za-z0-9-]+)+)(?![A-Za-z0-9-])", re.I
 )
 _SPOKEN_DOT = re.compile(r"\x20(?:dot|punkt|punto|point|\.)\x20", re.I)
-_SPOKEN_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\.|\x20(?:dot|punkt|punto|point)\x20)[0-9]{1,3}){3}(?![0-9.])", re.I)
+_OCTET = rf"(?:(?:{_NAMED})(?:[\x20\t]+(?:{_NAMED})){{0,2}}|[0-9]{{1,3}})"
+_STOP = r"(?:[\x20\t]*\.[\x20\t]*|\x20(?:dot|punkt|punto|point)\x20)"
+_NAMED_IP = re.compile(rf"(?<![^\W_])(?<![0-9.]){_OCTET}(?:{_STOP}{_OCTET}){{3}}(?![^\W_])(?!\.[0-9])", re.I)
+_IP_PARTS = re.compile(rf"(?P<stop>{_STOP})|(?P<named>{_NAMED})|(?P<gap>[\x20\t]+)", re.I)
+_HOST = re.compile("[A-Za-z0-9-]+")
 # What a text must hold, in lower case, for any of the above to apply.
 _FOREIGN = re.compile("[^\x00-\x7fÀ-İĲ-ɏ]")
 _TRACES = ("dot", "punkt", "punto", "point", "period", "arroba", "arobase", "klammeraffe", "@ ", " @", "at_", "at-", "at*")
 _NAMED_RUN = re.compile(rf"(?:{_NAMED}){_GAP}(?:(?:{_NAMED}|[0-9]+){_GAP})*?(?:{_NAMED})(?![^\W_])")
 
 
+_NAMED_DIGIT = re.compile(rf"(?<![^\W_])(?:{_NAMED})(?![^\W_])")
+_MANY_DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9]){6}")
+
+
 def _disguised(text: str) -> bool:
     """Whether a rewriting rule may apply to the text."""
     if not text.isascii() and _FOREIGN.search(text):
@@ -139,6 +150,8 @@ def _disguised(text: str) -> bool:
     low = text.lower()
     if any(t in low for t in _TRACES) or _NAMED_RUN.search(low):
         return True
+    if _NAMED_DIGIT.search(low) and ("+" in low or "plus" in low or _MANY_DIGITS.search(low)):
+        return True
     return any(c in text for c in "[({<") and _SIGNS.search(text) is not None
 
 
@@ -190,9 +203,11 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for m in _DIGITS.finditer(text):
         parts = list(_A_DIGIT.finditer(text, m.start(), m.end()))
-        if sum(p[1] is not None for p in parts) < LEAST_NAMED:
-            continue
+        named = sum(p[1] is not None for p in parts)
         plus = _PLUS.match(text, m.start(), m.end())
+        digits = sum(1 if p[1] else len(p[0]) for p in parts)
+        if named < LEAST_NAMED and not (named and ((plus and 8 <= digits <= 15) or 16 <= digits <= 19)):
+            continue
         if plus and plus[0] != "+":
             edits.append((plus.start(), parts[0].start(), "+"))
         for k, p in enumerate(parts):
@@ -206,6 +221,38 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _ip_edits(text: str) -> list[tuple[int, int, str]]:
+    """Named digits and spelled dots of four numbers joined by dots, at least one of them disguised."""
+    edits = []
+    for m in _NAMED_IP.finditer(text):
+        for p in _IP_PARTS.finditer(text, m.start(), m.end()):
+            new = "." if p["stop"] else DIGIT_OF[p["named"].lower()] if p["named"] else ""
+            if new != p[0]:
+                edits.append((p.start(), p.end(), new))
+    return edits
+
+
+def _is_address(m: re.Match, found: list, out: Rewritten) -> bool:
+    """Whether name, at, host, dot and label are an address and no prose.
+
+    A sign at is disguised only together with a dot, since a plain "at" before a written domain is prose. After a spelled
+    "dot" any label of letters ends an address, unless the host is a word like "the"; the other words for a dot are common
+    in prose and must lead to a known last label.
+    """
+    if m["at"].strip() == "@":
+        return True
+    labels = _SPOKEN_DOT.split(m["rest"])
+    last, host = labels[-1].rpartition(".")[2], _HOST.match(m.string, m.end("at"))[0].lower()
+    if host in NO_HOSTS:
+        return False
+    if any(out.text[k] == "." and out.ends[k] - out.starts[k] > 1 for k in range(m.start("rest"), m.end("rest"))):
+        return True  # a dot that stood in brackets
+    if len(found) < 2:
+        return False
+    dots = {d[0].strip().lower() for d in _SPOKEN_DOT.finditer(m["rest"])}
+    return last.lower() in LAST_LABELS or (dots <= {"dot", "."} and re.fullmatch("[A-Za-z]{2,}", last) is not None)
+
+
 def rewrite(text: str) -> Rewritten | None:
     """The text with its disguises undone; None if it has none."""
     if not _disguised(text):
@@ -218,12 +265,10 @@ def rewrite(text: str) -> Rewritten | None:
         found = [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(out.text, m.start(), m.start("at"))]
         found.append((m.start("at"), m.end("at"), "@"))
         found += [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(out.text, m.start("rest"), m.end())]
-        # a plain word "at" before a written domain is prose: a dot or the sign itself must be disguised with it, and signs
-        # that are all plain words must lead to a known last label
-        if m["at"].strip() == "@" or (len(found) > 1 and _SPOKEN_DOT.split(m["rest"])[-1].rpartition(".")[2].lower() in LAST_LABELS):
+        if _is_address(m, found, out):
             edits += found
     out.apply(edits)
-    out.apply([e for m in _SPOKEN_IP.finditer(out.text) for d in _SPOKEN_DOT.finditer(out.text, m.start(), m.end()) for e in [(d.start(), d.end(), ".")]])
+    out.apply(_ip_edits(out.text))
     out.apply(_digit_edits(out.text))
     return out if out.text != text else None
 

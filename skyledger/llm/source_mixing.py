@@ -4,8 +4,9 @@ Every source is a stream: its documents in a stable pseudo-random order, over ag
 holds. The stream up to the target is cut into blocks of words, and the number of a source's blocks is its quota. A
 binary tree parts the quotas among the output shards: at each node the left half of the shards draws its blocks without
 replacement from all blocks of the node, so its counts by source follow the multivariate hypergeometric law and the right
-half gets what remains. The counts of the leaves add up to the quotas exactly. A shard then owns a run of blocks of each
-stream, disjoint from every other shard's, and reads its documents in a pseudo-random order of its own.
+half gets what remains. The counts of the leaves add up to the quotas exactly. The blocks of a stream are permuted, and each
+shard draws as many of them, in that order, as the tree gave it, disjoint from every other shard's; it reads its documents
+in a pseudo-random order of its own.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from skyledger.llm.stable_order import Buckets, bucket_totals, rank, running
 WORD = r"[^\x20\x09-\x0D]+"
 #: Blocks of the whole mix, about; it sets how finely sources are interleaved, not what is taken.
 BLOCKS = 20_000
+#: Blocks are permuted by this factor, a prime above the number of blocks of any source.
+PERMUTE = 15_485_863
 #: Counts further than this many standard deviations from their mean have no weight that a double could show.
 DEVIATIONS = 10
 
@@ -81,8 +84,10 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: str = "mix") -> DataFra
     """For each source and shard the blocks it gets, from a table (source, quota).
 
     Returns source and ends, an array with the last block (exclusive) of each shard in the source's stream. A node of the
-    tree is one row with a count for each source; ``shards`` is a power of two.
+    tree is one row with a count for each source, so sources are meant to be few; ``shards`` is a power of two.
     """
+    if shards < 1 or shards & (shards - 1):
+        raise ValueError("the number of shards must be a power of two")
     entry = F.struct(F.col("source").alias("source"), F.col("quota").alias("n"))
     nodes = quotas.agg(F.array_sort(F.collect_list(entry)).alias("counts")).select(F.lit(0).alias("node"), "counts")
     for _ in range(shards.bit_length() - 1):
@@ -110,20 +115,29 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: str = "mix") -> DataFra
     return gathered.select("source", upto.alias("ends"))
 
 
-def plan(docs: DataFrame, size: str = "size", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, shards: int = 8) -> DataFrame:
+def text_key(text: Column) -> Column:
+    """Tells texts apart in the order of a stream."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def plan(
+    docs: DataFrame, size: str = "size", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, shards: int = 8, ties: Sequence[str] = ()
+) -> DataFrame:
     """Every row of docs with what the mix takes of it.
 
     docs has doc_id, source and a column of words (``size``). All its columns are kept, and these are added or replaced:
     source_size, target (words to take from the source) and takes, an array with an entry for each time the document is
     taken, ``most`` times at most: repeat (0 at the first time), words (all of the document, fewer at the end of the
-    target), shard, and shuffle, by which the rows of a shard are to be sorted.
+    target), block (of the source's stream, in which it begins), shard, and shuffle, by which the rows of a shard are to be
+    sorted.
 
     A null source is a source, the last; a null size counts as 0, and a document of size 0 is not taken. The order of a
-    stream follows from doc_id and size, so reruns agree; rows equal in both may change places. An empty table gives an
-    empty result.
+    stream follows from doc_id, the columns named as ``ties`` and size, so reruns agree; rows equal in all of them may
+    change places, and are ordered by one task. Name a column that tells texts apart (``text_key``) where ids can repeat
+    or be null: such rows then lie apart. An empty table gives an empty result.
     """
     docs = docs.withColumns({"_source": F.col("source").cast("string"), "_size": F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long"))})
-    docs = docs.withColumn("_order", rank("mix", F.col("doc_id")))
+    docs = docs.withColumn("_order", rank("mix", F.col("doc_id"), *[F.col(t) for t in ties]))
     buckets = bucket_totals(docs, docs.count(), "_source", "_order", "_size")
     totals = durable(buckets.totals)
     sizes = totals.groupBy(F.col("_source").alias("source")).agg(F.sum("held").alias("source_size"))
@@ -133,16 +147,17 @@ def plan(docs: DataFrame, size: str = "size", weights: Sequence[int] = (3, 1, 2)
     aims = durable(aims.withColumn("blocks", F.ceil(F.col("quota") / F.col("block")).cast("long")))
     tree = splitting_tree(aims.select("source", F.col("blocks").alias("quota")), shards)
     aims = aims.join(tree.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    aims = aims.select(F.col("source").alias("_of"), F.struct("source_size", "target", "quota", "block", "ends").alias("_aim"))
+    aims = aims.select(F.col("source").alias("_of"), F.struct("source_size", "target", "quota", "block", "blocks", "ends").alias("_aim"))
     aimed = totals.join(aims, totals["_source"].eqNullSafe(aims["_of"])).drop("_of")
-    placed = running(docs, Buckets(buckets.bits, aimed), "_source", "_order", ["doc_id", "_size"], "_size", "_from")
+    placed = running(docs, Buckets(buckets.bits, aimed), "_source", "_order", ["doc_id", *ties, "_size"], "_size", "_from")
 
     def take(repeat: Column) -> Column:
         begin = F.col("_from") + repeat * F.col("_aim.source_size")
         block = F.floor(begin / F.col("_aim.block")).cast("long")
-        shard = F.size(F.filter("_aim.ends", lambda e: e <= block))
+        drawn = F.pmod(block * PERMUTE + F.pmod(F.xxhash64("_source"), F.lit(PERMUTE)), F.col("_aim.blocks"))
+        shard = F.size(F.filter("_aim.ends", lambda e: e <= drawn))
         words = F.least(F.col("_size"), F.col("_aim.quota") - begin)
-        return F.struct(repeat.alias("repeat"), words.alias("words"), shard.alias("shard"), F.xxhash64(shard, repeat, "_order").alias("shuffle"))
+        return F.struct(repeat.alias("repeat"), words.alias("words"), block.alias("block"), shard.alias("shard"), F.xxhash64(shard, repeat, "_order").alias("shuffle"))
 
     takes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), take), lambda t: t["words"] > 0)
     out = placed.withColumns({"source_size": F.col("_aim.source_size"), "target": F.col("_aim.target"), "takes": takes})
@@ -160,8 +175,8 @@ def mixed(docs: DataFrame, text: str = "text", **aims) -> DataFrame:
     The columns of docs are kept. The last document of a source's stream is cut after the words that its target leaves;
     its words are then joined by single spaces. ``aims`` are those of ``plan``.
     """
-    planned = plan(docs.withColumn("_words", word_count(F.col(text))), "_words", **aims)
+    planned = plan(docs.withColumns({"_words": word_count(F.col(text)), "_text": text_key(F.col(text))}), "_words", ties=["_text"], **aims)
     each = planned.withColumn("_take", F.explode("takes")).withColumns({"shard": F.col("_take.shard"), "shuffle": F.col("_take.shuffle")})
     cut = F.array_join(F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("_take.words").cast("int")), " ")
     each = each.withColumn(text, F.when(F.col("_take.words") < F.col("_words"), cut).otherwise(F.col(text)))
-    return each.drop("_take", "_words", "takes", "source_size", "target")
+    return each.drop("_take", "_words", "_text", "takes", "source_size", "target")

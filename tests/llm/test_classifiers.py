@@ -87,3 +87,47 @@ def test_thresholds_are_set_by_language():
     got = toxicity.calibrated(np.concatenate([scores, shifted, scores[:4]]), np.concatenate([y, y, y[:4]]), ["en"] * 80 + ["de"] * 80 + ["fr"] * 4)
     assert set(got) == {"en", "de"}
     assert got["en"] == 0.3 and got["de"] == 0.6
+
+
+def test_the_sample_is_bounded_where_a_labelled_doc_id_repeats(spark):
+    docs = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    labels = labels.union(labels.filter("doc_id = 1")).union(labels.filter("doc_id = 1"))
+    texts, y = labelled.sample(docs, labels, "toxic", F.lit(True), 1000)
+    assert len(texts) == len(y) <= 2000 and sum(y) <= 1000
+    again, _ = labelled.sample(docs.repartition(13), labels, "toxic", F.lit(True), 1000)
+    assert again == texts
+
+
+def test_follow_the_regularised_leader_equals_a_loop_over_weights():
+    from skyledger.llm import text_arrays as ta
+
+    texts = ["good words, and more good words.", "bad !!! bad !!! bad", "fine and good; words", "", "!!! ??? bad"] * 6
+    y = np.array([1, 0, 1, 0, 0] * 6)
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= quality_ftrl.L1:
+            return 0.0
+        return -(z[k] - np.sign(z[k]) * quality_ftrl.L1) / ((quality_ftrl.BETA + n[k] ** 0.5) / quality_ftrl.ALPHA + quality_ftrl.L2)
+
+    def grams(text):
+        (run,) = ta.runs(labelled.as_column([text]))
+        found = quality_ftrl.features(run)[0].tolist()
+        return {k: quality_ftrl.SCALE * found.count(k) / len(found) for k in found} | {"constant": 1.0}
+
+    score = lambda x: 1 / (1 + np.exp(-sum(weight(k) * v for k, v in x.items())))
+    for _ in range(3):
+        for text, label in zip(texts, y):
+            x = grams(text)
+            p = score(x)
+            old = {k: weight(k) for k in x}
+            for k, v in x.items():
+                g = (p - label) * v
+                more = n.get(k, 0.0) + g * g
+                z[k] = z.get(k, 0.0) + g - (more**0.5 - n.get(k, 0.0) ** 0.5) / quality_ftrl.ALPHA * old[k]
+                n[k] = more
+    model = quality_ftrl.learn(texts, y, passes=3)
+    unseen = [*texts[:5], "good !!! words", "nothing known here"]
+    (run,) = ta.runs(labelled.as_column(unseen))
+    assert np.allclose(model.scores(run), [score(grams(t)) for t in unseen], atol=1e-5)

@@ -70,6 +70,45 @@ def test_words_close_together_match_in_any_order(frame):
     assert [(r["doc_id"], r["ids"], r["n_near"]) for r in got] == [(1, ["1"], 5)]
 
 
+def near_by_hand(docs, items, slop, share):
+    """For every document and item the places of item words with enough of its words within reach."""
+    import math
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    out = {}
+    for item_id, item in items:
+        own = word.findall(item.lower())
+        reach, need = max(slop, len(own)), math.ceil(share * len(set(own)) - 1e-9)
+        for doc_id, text in docs:
+            w = word.findall((text or "").lower())
+            best = max((len(set(own) & set(w[max(i - reach, 0) : i + reach + 1])) for i in range(len(w)) if w[i] in own), default=0)
+            if best >= need:
+                out[doc_id, str(item_id)] = best
+    return out
+
+
+def test_long_items_match_whatever_word_is_missing(frame):
+    dice = random.Random(8)
+    common = [f"c{i}" for i in range(80)]
+    items = [(i, " ".join(dice.choices(common, k=n - 5) + [f"r{i}x{k}" for k in range(5)])) for i, n in enumerate((30, 40, 60, 45, 7))]
+    docs = []
+    for _, item in items:
+        w = item.split()
+        lacking = [x for x in w if not x.endswith(("x0", "x1"))]
+        for own in (w, lacking, w[: len(w) // 2], dice.sample(w, len(w)), w[:10] + ["far"] * 70 + w[10:]):
+            docs.append((len(docs), " ".join(["before"] * 6 + own + ["after"] * 6)))
+    docs += [(len(docs) + i, " ".join(dice.choices(common, k=150))) for i in range(10)] + [(900, None), (901, "")]
+    want = near_by_hand(docs, items, 20, 0.8)
+    assert all((5 * i, str(i)) in want and (5 * i + 1, str(i)) in want for i in range(4))
+    got = dc.proximity_matches(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()
+    best = {}
+    for r in got:
+        best[r["doc_id"], r["ids"][0]] = max(best.get((r["doc_id"], r["ids"][0]), 0), r["n_near"])
+    # every passage with the share is found; the count is that around one of the rarest words
+    assert set(best) == set(want)
+    assert all(best[k] <= want[k] for k in best)
+
+
 def test_awkward_rows(awkward, table):
     got = dc.contamination(awkward, table("benchmark"))
     assert got.count() == awkward.count()

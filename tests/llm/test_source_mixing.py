@@ -89,3 +89,48 @@ def test_awkward_rows(awkward):
     assert {"score", "kept", "shard", "words", "h"} <= set(sm.mixed(awkward).columns)
     assert sm.plan(docs.limit(0)).collect() == []
     assert sm.mixed(awkward.limit(0)).collect() == []
+
+
+def test_shards_draw_permuted_blocks_as_the_tree_parts_them(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.select("doc_id", "source", sm.word_count(F.col("text")).alias("size"), sm.text_key(F.col("text")).alias("key"))
+    rows = sm.plan(docs, shards=4, ties=["key"]).select("source", F.inline("takes")).collect()
+    sizes = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    quotas = {s: int(t + 1e-9) for s, t in filled(sizes, (3, 1, 2), 1.5 * sum(sizes.values()), 2).items()}
+    block = max(-(-sum(quotas.values()) // sm.BLOCKS), 1)
+    blocks = {s: -(-q // block) for s, q in quotas.items()}
+    tree = sm.splitting_tree(spark.createDataFrame(list(blocks.items()), "source string, quota long"), 4)
+    ends = {r["source"]: r["ends"] for r in tree.collect()}
+    shift = {r["source"]: r["h"] for r in docs.select("source", F.pmod(F.xxhash64("source"), F.lit(sm.PERMUTE)).alias("h")).distinct().collect()}
+    assert len({r["shard"] for r in rows}) == 4
+    neighbours = 0
+    for r in rows:
+        drawn = (r["block"] * sm.PERMUTE + shift[r["source"]]) % blocks[r["source"]]
+        assert r["shard"] == sum(e <= drawn for e in ends[r["source"]])
+        after = ((r["block"] + 1) * sm.PERMUTE + shift[r["source"]]) % blocks[r["source"]]
+        neighbours += r["shard"] == sum(e <= after for e in ends[r["source"]])
+    assert neighbours < 0.6 * len(rows)  # a run of blocks would nearly always stay in its shard
+    for s, n in blocks.items():
+        places = sorted((b * sm.PERMUTE + shift[s]) % n for b in range(n))
+        assert places == list(range(n))
+
+
+def test_rows_of_one_doc_id_keep_their_places_in_any_order(frame):
+    rows = [(1, "s", f"text number {i} of some words") for i in range(40)] + [(None, "s", f"another {i} text of it") for i in range(40)]
+    schema = "doc_id long, source string, text string"
+    one, two = (sorted(map(repr, sm.mixed(frame(r, schema)).collect())) for r in (rows, rows[::-1]))
+    assert one == two
+
+
+def test_a_doc_id_of_a_third_of_all_rows_is_spread_over_buckets(spark):
+    from skyledger.llm.stable_order import BUCKET_ROWS, RANK_BITS, rank
+
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), sm.text_key(F.col("id")).alias("key"))
+    bits = (30_000 // BUCKET_ROWS).bit_length()
+    buckets = docs.groupBy(F.shiftright(rank("mix", F.col("doc_id"), F.col("key")), RANK_BITS - bits)).count().collect()
+    assert max(r["count"] for r in buckets) < 2 * BUCKET_ROWS
+
+
+def test_shards_that_are_no_power_of_two_are_refused(spark):
+    with pytest.raises(ValueError):
+        sm.splitting_tree(spark.createDataFrame([("a", 5)], "source string, quota long"), 6)
