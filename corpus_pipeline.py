@@ -10,6 +10,10 @@ from skyledger.llm.durable import durable
 from skyledger.llm.shipping import ship
 
 
+#: Tasks that lay out the rows of one shard of the mix, at most.
+SHARD_PARTS = 4096
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that the toxicity classifier rejects, learned from labels outside the held-out quarter."""
     ship(spark)
@@ -29,8 +33,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document; the last one that a source gives is cut to its target."""
+    """A row for each time the mix takes a document; the last one that a source gives is cut to its target.
+
+    Rows are laid out by the shard that drew them, in the order of its shuffle, each shard over as many tasks as it needs.
+    """
     mixed = source_mixing.mixed(docs)
+    mixed = mixed.repartition("shard", F.pmod("shuffle", F.lit(SHARD_PARTS))).sortWithinPartitions("shard", "shuffle")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         mixed = mixed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(kind)))
