@@ -141,7 +141,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         if name in ("enrich", "build"):
             job.add_argument("--as-of", help="reporting date, today when not given")
         if name in ("enrich", "ingest"):
-            job.add_argument("--multi-line", action="store_true", help="CSV with quoted line breaks; each file is one task")
+            job.add_argument("--multi-line", action="store_true", help="CSV with quoted line breaks; a file that has any is one task")
         if name == "enrich":
             job.add_argument("--parquet", action="store_true", help="write Parquet, which keeps line breaks and splits")
             job.add_argument("--salts", type=int, default=1, help="tasks that a frequent word of a large lexicon gets from the outset")

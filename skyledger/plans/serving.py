@@ -42,18 +42,27 @@ def routes_ranking(route_metrics: DataFrame, dim_routes: DataFrame) -> DataFrame
 def customers_at_risk(
     customer_metrics: DataFrame, dim_customers: DataFrame, k: int = V.AT_RISK_ROWS, min_score: int = V.AT_RISK_SCORE
 ) -> DataFrame:
-    """The ``k`` most valuable customers with a churn score of ``min_score`` or more; ties go by customer id."""
+    """The ``k`` most valuable customers with a churn score of ``min_score`` or more; ties go by customer id.
+
+    The first ``k`` are found among the metrics alone, of customers that the dimension has, and only these meet its names.
+    """
     who = dim_customers.select(
         "customer_id",
         F.concat("first_name", F.lit(" "), "last_name").alias("client"),
         F.col("segment").alias("client_segment"),
         F.col("country").alias("client_country"),
     )
-    return (
+    order = (F.desc_nulls_last("ltv_usd"), "customer_id")
+    first = (
         customer_metrics.filter(F.col("churn_score") >= min_score)
         .select("customer_id", "ltv_usd", "churn_score", "open_tickets", "avg_rating")
-        .join(who, "customer_id")
-        .orderBy(F.desc_nulls_last("ltv_usd"), "customer_id")
+        .join(dim_customers.select("customer_id"), "customer_id", "left_semi")
+        .orderBy(*order)
+        .limit(k)
+    )
+    return (
+        first.join(who, "customer_id")
+        .orderBy(*order)
         .limit(k)
         .select(
             "client",

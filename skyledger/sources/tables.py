@@ -6,6 +6,7 @@ import posixpath
 import uuid
 from collections.abc import Collection, Iterable, Iterator, Mapping
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +43,9 @@ def read_raw(
 
     Types of a CSV feed are declared per column name, so the file is read once and its column order does not matter; a
     value that does not fit its type stops the job, except in columns read ``as_text``. ``infer`` lets Spark look at the
-    data instead, at the price of a second read. Quoted line breaks need ``multi_line``, which makes each file one task;
-    feeds with line breaks are better passed on as Parquet.
+    data instead, at the price of a second read. Quoted line breaks need ``multi_line``: one pass then finds the files that
+    have any, and each of these is read whole by one task, all others in parts as usual. Feeds with line breaks are better
+    passed on as Parquet.
     """
     try:
         return spark.read.parquet(posixpath.join(folder, f"{table}.parquet"))
@@ -51,17 +53,35 @@ def read_raw(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
     path = posixpath.join(folder, f"{table}.csv")
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.option("header", True).option("escape", '"')
     try:
-        header = reader.csv(path).columns
+        header = reader.option("multiLine", multi_line).csv(path).columns
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
     if infer:
-        return reader.option("inferSchema", True).option("preferDate", True).csv(path)
+        return reader.option("multiLine", multi_line).option("inferSchema", True).option("preferDate", True).csv(path)
     schema = read_schema(table, header, as_text)
-    return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(path)
+    reader = reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema)
+    parted, whole = _by_line_breaks(spark, path) if multi_line else ([path], [])
+    parts = [reader.option("multiLine", broken).csv(files) for files, broken in ((parted, False), (whole, True)) if files]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _by_line_breaks(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files of a CSV feed without and with line breaks inside quotes.
+
+    Quotes inside quoted text are doubled, so a line of an odd number of quotes begins or ends a text that goes on. Only the
+    names of files come to the driver.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = lines.withColumn("file", F.input_file_name()).filter(quotes % 2 == 1).select("file").distinct()
+    # both name files as URLs
+    whole = {unquote(r["file"]) for r in odd.collect()}
+    every = sorted(map(unquote, lines.inputFiles()))
+    return [f for f in every if f not in whole], [f for f in every if f in whole]
 
 
 def quoted(*names: str) -> str:

@@ -97,7 +97,10 @@ def test_scans_read_only_needed_columns_and_filter_keys(spark, tmp_path):
 
 
 def test_top_k_keeps_only_k_rows_per_task(spark):
-    assert "TakeOrderedAndProject" in plan(registry.queries()["customers_at_risk"](spark, FOLDER))
+    text = plan(registry.queries()["customers_at_risk"](spark, FOLDER))
+    assert text.count("TakeOrderedAndProject") == 2
+    # the first twenty are known before names are joined to them
+    assert re.search(r"TakeOrderedAndProject.*\n(.*\n)*?.*Join \[customer_id.*Inner(.*\n)*?.*TakeOrderedAndProject(.*\n)*?.*Join \[customer_id.*LeftSemi", text)
 
 
 def hot_bookings(spark, n=30_000, customer="C1", flight="F1"):

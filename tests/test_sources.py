@@ -59,6 +59,27 @@ def test_read_raw_with_line_breaks_in_quotes(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [("T1", "one\ntwo")]
 
 
+def test_only_files_with_line_breaks_in_quotes_are_read_whole(spark, tmp_path):
+    feed = tmp_path / "support_tickets.csv"
+    feed.mkdir()
+    plain = [f"T{i},text {i}" for i in range(3000)]
+    (feed / "a b%20é.csv").write_text("ticket_id,ticket_text\n" + "\n".join(plain) + "\n")
+    (feed / "b.csv").write_text('ticket_id,ticket_text\nU1,"one\ntwo ""three"""\nU2,"said ""so"", twice"\n')
+    (feed / "c.csv").write_text('ticket_id,ticket_text\nU3,"said ""so"""\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = tables.read_raw(spark, str(tmp_path), "support_tickets", multi_line=True)
+        parted, whole = tables._by_line_breaks(spark, str(feed))
+        assert ([len(parted), len(whole)], whole[0].endswith("b.csv")) == ([2, 1], True)
+        # the large plain file is several tasks, and the largest task that reads a file whole is that of b.csv
+        assert got.rdd.getNumPartitions() >= 5
+        rows = {r["ticket_id"]: r["ticket_text"] for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 3003 and rows["T2999"] == "text 2999"
+    assert (rows["U1"], rows["U2"], rows["U3"]) == ('one\ntwo "three"', 'said "so", twice', 'said "so"')
+
+
 def test_absent_feed(spark, tmp_path):
     assert tables.read_raw(spark, str(tmp_path), "flights") is None
 
