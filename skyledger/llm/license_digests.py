@@ -101,9 +101,18 @@ def _may(text: Column) -> Column:
     return reduce(Column.__or__, [F.lower(text).contains(t) for t in TRACES])
 
 
-def registry(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Digests of known texts with their license; a text that several licenses share goes to the first by name."""
-    rows = spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
+def texts_in(spark: SparkSession, folder: str) -> DataFrame:
+    """(license, text) of the files in a folder: a license in full in each, named by the file without its last ending."""
+    files = spark.read.text(folder, wholetext=True)
+    return files.select(F.regexp_replace("_metadata.file_name", r"(?<=.)\.[A-Za-z]+$", "").alias("license"), F.col("value").alias("text"))
+
+
+def registry(spark: SparkSession, texts: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """Digests of known texts with their license; a text that several licenses share goes to the first by name.
+
+    ``texts`` are pairs or rows of license and text, such as those of ``texts_in``; without them, those of ``known_texts``.
+    """
+    rows = texts if isinstance(texts, DataFrame) else spark.createDataFrame(known_texts() if texts is None else texts, "license string, text string")
     rows = rows.select("license", digest(F.col("text")).alias("digest"), canonical(F.col("text")).alias("canonical"))
     lost = F.raise_error(F.concat(F.lit(f"a known text has none of {TRACES}: "), "canonical")).cast("string")
     rows = rows.withColumn("license", F.when(_may(F.col("canonical")), F.col("license")).otherwise(lost))
@@ -114,8 +123,8 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id, license (of the whole text, null if it is none), n_license_lines and licenses for every row of docs.
 
     licenses lists those of the whole text and of single lines, sorted, by commas, empty if there are none;
-    n_license_lines counts lines that are a known notice as a whole. ``known`` is a registry, a few hundred rows that are
-    sent to every executor. Null and empty texts have no license. Rows that repeat a doc_id are each scanned by their own
+    n_license_lines counts lines that are a known notice as a whole. ``known`` is a registry, which Spark
+    sends to every executor if it is below the broadcast threshold, and shuffles by digest beyond. Null and empty texts have no license. Rows that repeat a doc_id are each scanned by their own
     text; other columns are not read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -124,7 +133,7 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), _may)
     units = some.select("doc_id", "h", F.struct(F.lit(True).alias("whole"), digest(F.col("text")).alias("digest")).alias("first"), F.transform(lines, lambda t: F.struct(F.lit(False).alias("whole"), digest(t).alias("digest"))).alias("rest"))
     units = units.select("doc_id", "h", F.inline(F.concat(F.array("first"), "rest")))
-    hits = units.join(F.broadcast(known), "digest").groupBy("doc_id", "h").agg(
+    hits = units.join(known, "digest").groupBy("doc_id", "h").agg(
         F.min(F.when(F.col("whole"), F.col("license"))).alias("license"),
         F.count(F.when(~F.col("whole"), 1)).alias("n_license_lines"),
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),

@@ -38,6 +38,41 @@ def test_a_text_of_ones_own_can_be_registered(spark, frame):
     assert ld.scan(frame([(1, "HOUSE LICENCE -- do as you like")], "doc_id long, text string"), known).first()["license"] == "House"
 
 
+def long_license(name, seed):
+    """A license of the length of the Apache and Mozilla licenses."""
+    import random
+
+    dice = random.Random(seed)
+    words = "license licensor contribution work source form you shall grant patent notice terms copyright of the to in any under".split()
+    clauses = [" and ".join(dice.choices(words, k=60)) for _ in range(15)]
+    return f"{name} License\nVersion 2.0\n\n" + "\n\n".join(f"{i}. {c}." for i, c in enumerate(clauses, 1))
+
+
+def test_a_registry_from_a_folder_of_license_files(spark, frame, tmp_path):
+    for name in ("Apache-2.0", "MPL-2.0"):
+        (tmp_path / f"{name}.txt").write_text(long_license(name, name))
+    known = ld.registry(spark, ld.texts_in(spark, str(tmp_path)))
+    docs = [
+        (1, "Copyright 2020 Some One\n" + long_license("Apache-2.0", "Apache-2.0").upper()),
+        (2, long_license("MPL-2.0", "MPL-2.0").replace("license", "licence").replace(", ", " ")),
+        (3, long_license("MPL-2.0", "Apache-2.0")),
+        (4, long_license("MPL-2.0", "MPL-2.0") + " And more."),
+    ]
+    got = {r["doc_id"]: r["license"] for r in ld.scan(frame(docs, "doc_id long, text string"), known).collect()}
+    assert got == {1: "Apache-2.0", 2: "MPL-2.0", 3: None, 4: None}
+
+
+def test_a_large_registry_is_not_broadcast(spark, frame):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    found = ld.scan(frame([(1, NOTICE)], "doc_id long, text string"), ld.registry(spark))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for k in keys:
+        spark.conf.unset(k)
+    assert "Broadcast" not in plan
+
+
 def test_awkward_rows(spark, awkward):
     got = ld.scan(awkward, ld.registry(spark)).collect()
     assert len(got) == awkward.count()
