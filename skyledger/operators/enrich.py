@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.frames import split_join
+from ..functions.frames import may_hold, split_join
 from ..functions.numeric import exact_mean, round_half_even
 from ..functions.rules import add_missing, as_of_date, sentiment_of
 
 NON_LETTERS = r"[^\p{L}]+"
-#: Bits of the table that words pass before they meet a lexicon (128 KB): of words that are in no lexicon of 100,000 words
-#: one in eleven passes.
-FILTER_BITS = 1 << 20
 
 
 def _as_column(value: float | Column) -> Column:
@@ -118,26 +113,10 @@ def sentiment_label(df: DataFrame, score: str, label: str = "sentiment_label") -
     return df.withColumn(label, sentiment_of(F.col(score))).withColumn(score, round_half_even(F.col(score), 4))
 
 
-def _may_hold(lexicon: DataFrame) -> Callable[[Column], Column]:
-    """Whether a word may be in the lexicon, by a table of bits that are set at the hashes of the lexicon's words.
-
-    The table is one value of FILTER_BITS, so it can go to every task whatever the size of the lexicon.
-    """
-    place = lambda word: F.pmod(F.xxhash64(word), F.lit(FILTER_BITS))
-    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
-    entry = lambda at: F.shiftright(at, 6).cast("int")
-    known = lexicon.select(place(F.col("word")).alias("at"))
-    known = known.groupBy(entry(F.col("at")).alias("entry")).agg(F.bit_or(bit(F.col("at"))).alias("held"))
-    every = lexicon.sparkSession.range(FILTER_BITS // 64).select(F.col("id").cast("int").alias("entry"))
-    rows = F.array_sort(F.collect_list(F.struct("entry", F.coalesce("held", F.lit(0).cast("long")).alias("held"))))
-    table = every.join(known, "entry", "left").agg(rows.getField("held").alias("table")).scalar()
-    return lambda word: F.get(table, entry(place(word))).bitwiseAND(bit(place(word))) != 0
-
-
 def candidate_words(texts: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, word) for the words of texts that may be in the lexicon, and one row at least for every text."""
     words = texts.select(key, F.posexplode_outer(F.split(F.lower(text), NON_LETTERS)).alias("at", "word"))
-    return words.filter(F.coalesce(F.col("at") == 0, F.lit(True)) | _may_hold(lexicon)(F.col("word"))).drop("at")
+    return words.filter(F.coalesce(F.col("at") == 0, F.lit(True)) | may_hold(lexicon, "word")(F.col("word"))).drop("at")
 
 
 def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, key: str, text: str, salts: int = 1) -> DataFrame:
