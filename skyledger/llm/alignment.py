@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.functions.frames import split_join
 from skyledger.llm import text_arrays as ta
 from skyledger.llm.byte_pairs import Merges, encode_run, tokenizers_classes
-from skyledger.llm.durable import durable, split_join
+from skyledger.llm.durable import durable
 from skyledger.llm.merge_replay import read_file
 
 #: Texts are encoded on side a in blocks of about this size, and aligned in smaller ones; a longer text is a block.

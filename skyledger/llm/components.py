@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.durable import durable, split_join
+from skyledger.functions.frames import split_join
+from skyledger.llm.durable import durable
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -8,20 +8,17 @@ of a window meet where the window can occur; the words kept around the rarest on
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.durable import durable, split_join
+from skyledger.functions.frames import may_hold, split_join
+from skyledger.llm.durable import durable
 
 #: Between words stand all ASCII characters but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: So many terms, or places of terms in test items, are looked up in one pass over the corpus, about; it bounds the table
-#: that is sent to every executor.
-TERMS_A_PASS = 100_000
+#: So many terms, or places of terms in test items, are sent to every executor at most; more are shuffled.
+SENT_TERMS = 100_000
 
 
 def words(text: Column) -> Column:
@@ -42,14 +39,9 @@ def _items(benchmark: DataFrame, width: int) -> DataFrame:
     return items.withColumn("item", F.xxhash64(F.array_join("words", " ")))
 
 
-def _in_passes(terms: DataFrame, look_up: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The union of look_up over blocks of terms, each small enough to be sent to every executor."""
-    load = terms.agg(F.sum(F.size("places") if "places" in terms.columns else F.lit(1))).first()[0] or 0
-    blocks = -(-load // TERMS_A_PASS) or 1
-    if blocks == 1:
-        return look_up(F.broadcast(terms))
-    parts = [terms.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == i) for i in range(blocks)]
-    return reduce(DataFrame.unionByName, [look_up(F.broadcast(p)) for p in parts])
+def _places(terms: DataFrame) -> int:
+    """Terms, or the places that they are looked for at."""
+    return terms.agg(F.sum(F.size("places") if "places" in terms.columns else F.lit(1))).first()[0] or 0
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -61,7 +53,11 @@ def _documents(docs: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each term (a lower-case word) occurs in the training texts; terms that do not occur have no row."""
     each = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), BETWEEN)).alias("term"))
-    return _in_passes(terms, lambda some: each.join(some, "term")).groupBy("term").agg(F.count("*").alias("n"))
+    if _places(terms) <= SENT_TERMS:
+        found = each.join(F.broadcast(terms), "term")
+    else:
+        found = split_join(each.filter(may_hold(terms, "term")(F.col("term"))), terms, ["term"])
+    return found.groupBy("term").agg(F.count("*").alias("n"))
 
 
 def _anchors(items: DataFrame, counts: DataFrame, width: int) -> DataFrame:
@@ -80,20 +76,23 @@ def _anchors(items: DataFrame, counts: DataFrame, width: int) -> DataFrame:
     return ranked.select("item", "start", "length", first.alias("one"), second.alias("two"))
 
 
-def postings(docs: DataFrame, anchors: DataFrame, around: int | Column) -> DataFrame:
+def postings(docs: DataFrame, anchors: DataFrame, around: int) -> DataFrame:
     """The index: a row for each place where an anchor term stands in a training text.
 
     anchors has a term and the places (item, offset) it is looked for at. A row has the document (doc_id, h), the
-    position of the term, up to ``around`` words on either side of it (context, from position ``begin``) and the places;
-    ``around`` may be a column of anchors.
+    position of the term, up to ``around`` words on either side of it (context, from position ``begin``) and the places.
+    Up to SENT_TERMS places are sent to every executor. Of more, the words of the training texts are held against a table of
+    bits of the terms, and those that pass are shuffled to them with their context; either way the texts are read once.
     """
-    around = around if isinstance(around, Column) else F.lit(around)
     each = _documents(docs).select("doc_id", "h", "words", F.posexplode("words").alias("position", "word"))
     each = each.withColumn("term", F.lower("word"))
     begin = F.greatest(F.col("position") - around, F.lit(0))
-    return _in_passes(anchors, lambda some: each.join(some, "term")).select(
-        "doc_id", "h", "position", begin.alias("begin"), _lower(F.slice("words", begin + 1, F.col("position") - begin + 1 + around)).alias("context"), "places"
-    )
+    context = _lower(F.slice("words", begin + 1, F.col("position") - begin + 1 + around))
+    posting = ["doc_id", "h", "position", begin.alias("begin"), context.alias("context")]
+    if _places(anchors) <= SENT_TERMS:
+        return each.join(F.broadcast(anchors), "term").select(*posting, "places")
+    passed = each.filter(may_hold(anchors, "term")(F.col("term"))).select(*posting, "term")
+    return split_join(passed, anchors, ["term"]).drop("term")
 
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
@@ -156,8 +155,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 20, sha
     counts = durable(term_counts(docs, each.select("term").distinct()))
     rarity = Window.partitionBy("item").orderBy(F.coalesce("n", F.lit(0)), "word")
     rarest = each.join(counts, "term", "left").withColumn("r", F.row_number().over(rarity)).filter("r <= n_words - need + 1 and n is not null")
-    anchors = rarest.groupBy("term").agg(F.collect_set(F.struct("item", "reach", "need", "word")).alias("places"), F.max("reach").alias("around"))
-    found = postings(docs, durable(anchors), F.col("around")).select("doc_id", "h", "position", "begin", "context", F.explode("places").alias("p"))
+    anchors = rarest.groupBy("term").agg(F.collect_set(F.struct("item", "reach", "need", "word")).alias("places"))
+    widest = items.agg(F.max("reach")).first()[0] or 0
+    found = postings(docs, durable(anchors), widest).select("doc_id", "h", "position", "begin", "context", F.explode("places").alias("p"))
     first = F.greatest(F.col("position") - F.col("p.reach"), F.lit(0)) - F.col("begin")
     own = F.slice("context", first + 1, F.col("position") - F.col("begin") - first + 1 + F.col("p.reach"))
     near = found.select("doc_id", "h", "position", own.alias("near"), F.col("p.item").alias("item"), F.get("context", F.col("position") - F.col("begin")).alias("at"), F.col("p.word").alias("word"))

@@ -1,9 +1,8 @@
-"""Cutting lineage in the folder that all executors share, and joins that stay divisible."""
+"""Cutting lineage in the folder that all executors share."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skyledger.sources.storage import shared_folder
 
@@ -14,14 +13,3 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
-
-
-def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """A join in which Spark may split a hot key.
-
-    Spark splits a large partition of a join only if a shuffle made for this join feeds both sides. A side that is
-    already dealt by the key, such as the result of an aggregate, would be joined in place, so the key gets a further
-    column, its hash, by which neither side is dealt yet.
-    """
-    tag = F.xxhash64(*on)
-    return left.withColumn("_tag", tag).join(right.withColumn("_tag", tag), [*on, "_tag"], how).drop("_tag")

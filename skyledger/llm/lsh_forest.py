@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.frames import split_join
 from skyledger.llm import text_arrays as ta
 from skyledger.llm.components import connected_components
-from skyledger.llm.durable import durable, split_join
+from skyledger.llm.durable import durable
 
 DIGITS = 64
 TREES = 16

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from skyledger.llm import decontamination as dc
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -57,10 +59,15 @@ def test_generated_documents_equal_plain_search(table):
     assert shown(dc.contamination(table("documents"), table("benchmark"))) == plain(docs, items)
 
 
-def test_terms_are_looked_up_in_several_passes(table, monkeypatch):
+def test_many_terms_are_shuffled_in_one_pass_over_the_texts(table, monkeypatch):
     whole = shown(dc.contamination(table("documents"), table("benchmark")))
-    monkeypatch.setattr(dc, "TERMS_A_PASS", 50)
+    near = sorted(map(repr, dc.proximity_matches(table("documents"), table("benchmark")).collect()))
+    monkeypatch.setattr(dc, "SENT_TERMS", 50)
     assert shown(dc.contamination(table("documents"), table("benchmark"))) == whole
+    assert near and sorted(map(repr, dc.proximity_matches(table("documents"), table("benchmark")).collect())) == near
+    anchors = table("benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("term")).distinct().withColumn("places", F.array(F.struct(F.lit(1).alias("item"))))
+    plan = dc.postings(table("documents"), anchors, 12)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet.*documents\.parquet", plan)) == 1
 
 
 def test_words_close_together_match_in_any_order(frame):
