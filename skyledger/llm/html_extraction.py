@@ -3,9 +3,10 @@
 Every piece of text hangs on a path of block elements from the root. Text length and punctuation are summed by path and
 set against the number of pieces: prose has long pieces with punctuation, menus have short ones without. The two ratios
 are smoothed over neighbouring paths, fused and cut at a threshold. The element that holds most of what passes is the
-article, or the named article around it, or the outermost one whose further blocks pass as well. All blocks of the article
-are its text, short ones too, except those on paths that are marked as something else. A mark
-by name is lifted where the element turns out to be a layout around the article.
+article, or the named article around it, or the outermost one whose further blocks pass as well. Blocks of the article are
+its text if their path passes, short ones among long ones too, except those on paths that are marked as something else.
+Names weigh in: headings, items of lists, cells, quotes and the like have the ratio of their article, and in a named article
+the threshold is lower. A mark by name is lifted where the element turns out to be a layout around the article.
 """
 
 from __future__ import annotations
@@ -30,15 +31,17 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: Elements that can hold an article.
 HOLDERS = frozenset("html body main article section div td table tbody tr center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are short by their kind, and take the ratio of the article they stand in.
+STRUCTURED = HEADINGS | frozenset("ul ol li dl dt dd table caption th td blockquote pre figure figcaption address details summary".split())
 #: Words in class, id or role that mark something other than the article.
 MARKS = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
-    r"|sidebars?|side-?bar|rail|widgets?|menus?|navs?|navbar|navigation|breadcrumbs?|pagination|pager|footers?|mastheads?|topbar|toolbar|comments?|disqus|replies|respond"
+    r"|sidebars?|side-?bar|rail|widgets?|menus?|navs?|navbar|navigation|breadcrumbs?|pagination|pager|footers?|mastheads?|topbar|toolbar|comments?|feedback|disqus|replies|respond"
     r"|related|recommend(?:ed|ations)?|share|sharing|social|subscribe|newsletters?|signup|login|search(?:box)?|copyright|complementary|contentinfo|banner)(?:$|[^a-z])"
 )
 #: Marks of what others say, which no share of the page makes the name of a layout.
 FOREIGN = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|popups?|modals?|overlays?|comments?|disqus|replies|respond"
+    r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|popups?|modals?|overlays?|comments?|feedback|disqus|replies|respond"
     r"|related|recommend(?:ed|ations)?|subscribe|newsletters?|signup|copyright|contentinfo|footers?)(?:$|[^a-z])"
 )
 #: Elements apart by their kind that pages of forms put around all they hold.
@@ -57,6 +60,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
 KERNEL = (0.25, 0.5, 0.25)
 #: A path is content if its fused ratio is at least this share of the mean over text, by length.
 THRESHOLD = 0.25
+#: The same for paths inside a named article, where less has to be told apart.
+NAMED_THRESHOLD = 0.2
 #: The article is looked for from the innermost element that holds this share of the content.
 HELD = 0.8
 
@@ -337,9 +342,10 @@ def main_text(page: str | None) -> str:
         article = max(named, key=lambda p: (held[p], -len(p)))
     article = around(article, pieces, content)
     depth = len(article)
+    bar = (NAMED_THRESHOLD if "article" in article or "main" in article else THRESHOLD) * (own * sizes).sum() / sizes.sum()
     kept = []
-    for p, is_content in zip(pieces, content):
-        if p.path[:depth] == article and not only_links(p, is_content):
+    for p, is_content, ratio in zip(pieces, content, own):
+        if p.path[:depth] == article and not only_links(p, is_content) and (ratio >= bar or STRUCTURED.intersection(p.path[depth:])):
             kept.append(p.text[0])
     return "\n".join(kept)
 

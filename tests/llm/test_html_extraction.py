@@ -1,5 +1,6 @@
 import pytest
 
+from skyledger.llm import html_extraction
 from skyledger.llm.html_extraction import extract, main_text
 
 PROSE = "The ship left the harbour in the morning, and nobody knew why; it was raining. "
@@ -92,3 +93,45 @@ def test_awkward_pages(spark):
     got = extract(pages).collect()
     assert [(r.page_id, r.n_chars) for r in got] == [(1, 0), (None, 0), (2, 107), (2, 39_999), (2, 39_999)]
     assert extract(pages.limit(0)).collect() == []
+
+
+LONG = "Long prose, with some commas and a stop. " * 8
+LOOSE = f"<article><h1>T</h1><p>{LONG}</p><div>Tags</div><div>Print</div><p>Short.</p><ul><li>an item</li></ul></article>"
+
+
+def test_paths_inside_an_article_go_by_their_ratio(monkeypatch):
+    kept = f"T\n{LONG.strip()}\nShort.\nan item"
+    assert html_extraction.main_text(LOOSE) == kept
+    monkeypatch.setattr(html_extraction, "path_ratios", lambda pieces: {p.path: 1.0 for p in pieces})
+    assert html_extraction.main_text(LOOSE) == kept.replace("\nShort", "\nTags\nPrint\nShort")
+
+
+@pytest.mark.parametrize("name", ["article", "main", "div"])
+def test_unmarked_short_blocks_beside_prose(name):
+    page = f"<body><div>Home</div><div>About</div><{name}><h2>Title</h2><p>{LONG}</p><p>{LONG}</p><section>12 views</section></{name}><div class='user-feedback'><p>{LONG}</p></div></body>"
+    assert html_extraction.main_text(page) == "\n".join(["Title", LONG.strip(), LONG.strip()])
+
+
+def test_path_ratios_equal_sums_by_hand():
+    import math
+    import random
+
+    dice = random.Random(6)
+    paths = [("body",), ("body", "p"), ("body", "div"), ("body", "div", "p"), ("body", "ul", "li")]
+    pieces = []
+    for _ in range(60):
+        text = "".join(dice.choice("ab .,!") for _ in range(dice.randint(1, 80)))
+        pieces.append(html_extraction.Piece(dice.choice(paths), False, [text], dice.randint(0, len(text))))
+    order = list(dict.fromkeys(p.path for p in pieces))
+    fused = []
+    for path in order:
+        own = [p for p in pieces if p.path == path]
+        length = sum(len(p.text[0]) - p.linked for p in own) / len(own)
+        marks = (sum(c in ".,!" for p in own for c in p.text[0]) + 1) / len(own)
+        fused.append(math.sqrt(length * marks))
+    want = {}
+    for i, path in enumerate(order):
+        before, after = fused[max(i - 1, 0)], fused[min(i + 1, len(order) - 1)]
+        want[path] = math.sqrt(fused[i] * (before / 4 + fused[i] / 2 + after / 4))
+    got = html_extraction.path_ratios(pieces)
+    assert got.keys() == want.keys() and all(math.isclose(got[p], want[p]) for p in want)
