@@ -131,3 +131,23 @@ def test_follow_the_regularised_leader_equals_a_loop_over_weights():
     unseen = [*texts[:5], "good !!! words", "nothing known here"]
     (run,) = ta.runs(labelled.as_column(unseen))
     assert np.allclose(model.scores(run), [score(grams(t)) for t in unseen], atol=1e-5)
+
+
+def test_training_and_wider_filters_add_to_the_start_values(larger):
+    rows = larger("documents").join(larger("labels"), "doc_id").filter("text is not null").select(held(4, 2).alias("out"), "text", "toxic").orderBy("doc_id").collect()
+    learned, unseen = ([r for r in rows if r["out"] == out] for out in (False, True))
+    toxic = [r for r in learned if r["toxic"]]
+    clean = [r for r in learned if not r["toxic"]][: 2 * len(toxic)]
+    texts, y = [r["text"] for pair in zip(clean[::2], clean[1::2], toxic) for r in pair], np.array([r["toxic"] for pair in zip(clean[::2], clean[1::2], toxic) for r in pair])
+    truth = np.array([r["toxic"] for r in unseen])
+
+    def auc(net):
+        order = np.argsort(np.argsort(toxicity.text_scores(net, labelled.as_column([r["text"] for r in unseen]), net.products())))
+        n = truth.sum()
+        return (order[truth == 1].sum() - n * (n - 1) / 2) / (n * (len(truth) - n))
+
+    start, net = toxicity.learn(texts, y, passes=0), toxicity.learn(texts, y)
+    trained = auc(net)
+    for w in (2, 3):
+        net.filters[w][:] = 0
+    assert trained > auc(start) + 0.005 and trained > auc(net) + 0.005
