@@ -154,7 +154,7 @@ def plan(
     def take(repeat: Column) -> Column:
         begin = F.col("_from") + repeat * F.col("_aim.source_size")
         block = F.floor(begin / F.col("_aim.block")).cast("long")
-        drawn = F.pmod(block * PERMUTE + F.pmod(F.xxhash64("_source"), F.lit(PERMUTE)), F.col("_aim.blocks"))
+        drawn = F.pmod(block * PERMUTE + F.pmod(F.xxhash64("_source"), F.lit(PERMUTE)), F.greatest(F.col("_aim.blocks"), F.lit(1).cast("long")))
         shard = F.size(F.filter("_aim.ends", lambda e: e <= drawn))
         words = F.least(F.col("_size"), F.col("_aim.quota") - begin)
         return F.struct(repeat.alias("repeat"), words.alias("words"), block.alias("block"), shard.alias("shard"), F.xxhash64(shard, repeat, "_order").alias("shuffle"))
