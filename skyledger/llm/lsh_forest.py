@@ -284,8 +284,8 @@ class _Forest:
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:
     """Document groups: one row for every row of docs with doc_id, n_shingles, component_id and kept.
 
-    docs has doc_id and text; other columns are not read and may have any name. Texts are split at white space, A-Z
-    lower-cased; a set is the distinct shingles of ``width`` words, or the whole sequence of a shorter text. Two
+    docs has doc_id (whole numbers; texts that are none stop the job) and text; other columns are not read and may have any
+    name. Texts are split at white space, A-Z lower-cased; a set is the distinct shingles of ``width`` words, or the whole sequence of a shorter text. Two
     documents are linked if the intersection of their sets is at least ``similarity`` (in whole per cent) of the union;
     component_id is the smallest doc_id that a document reaches over links.
 
@@ -311,7 +311,8 @@ def without_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5)
 
     Rows are grouped by their own texts, whatever doc_id they repeat or lack. Of rows that repeat the kept doc_id and text
     the one whose other columns come first as JSON stays. Rows without words are in no group: they stay, one of each
-    doc_id and text, and all of those without doc_id. All columns of docs are kept as they are.
+    doc_id and text, and all of those without doc_id. All columns of docs are kept as they are. Texts are told apart by a
+    64-bit hash.
     """
     text = F.col("text").cast("string")
     key = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "_hash": F.xxhash64(text)}
