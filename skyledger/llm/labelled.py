@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyledger.llm.stable_order import rank
 
@@ -15,9 +20,9 @@ def remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, with_column: str | None = None) -> tuple:
-    """Texts and labels (0 or 1), and values of a further column if one is named, of at most
-    ``per_class`` documents of each class, in a stable pseudo-random order.
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, with_column: str | None = None) -> DataFrame:
+    """Texts and labels (y, 0 or 1), and values of a further column (more) if one is named, of at most ``per_class``
+    documents of each class, with their place in a stable pseudo-random order (r, then doc_id, y and text).
 
     The ids are chosen among the labels first, so the sample has a fixed bound and is sent to the documents, not they to
     it. Of rows that repeat a doc_id, labels count once for each value, and of documents one text is taken, the same in
@@ -32,10 +37,20 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_cl
     )
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     one = F.min_by(F.struct("text", "more"), F.struct(F.xxhash64("text"), F.length("text"), "more")).alias("one")
-    rows = found.groupBy("r", "doc_id", "y").agg(one).select("r", "doc_id", "y", "one.text", "one.more").toPandas()
-    rows = rows.sort_values(["r", "doc_id", "y", "text"])
-    found = rows["text"].tolist(), rows["y"].to_numpy(np.int64)
-    return found if with_column is None else (*found, rows["more"].where(rows["more"].notna(), None).tolist())
+    return found.groupBy("r", "doc_id", "y").agg(one).select("r", "doc_id", "y", "one.text", "one.more")
+
+
+def learned(rows: DataFrame, learn: Callable[[list[str], np.ndarray, list[str | None]], Any]) -> Any:
+    """What ``learn`` makes of the texts, labels and further values of a sample, in one task; only its result is collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(batches), schema).to_pandas().sort_values(["r", "doc_id", "y", "text"])
+        more = found["more"].where(found["more"].notna(), None).tolist()
+        yield pa.RecordBatch.from_pydict({"made": [pickle.dumps(learn(found["text"].tolist(), found["y"].to_numpy(np.int64), more))]})
+
+    schema = to_arrow_schema(rows.schema)
+    made = rows.repartition(1).mapInArrow(run, "made binary").collect()
+    return pickle.loads(made[0]["made"]) if made else learn([], np.zeros(0, np.int64), [])
 
 
 def as_column(texts: list[str]) -> pa.Array:

@@ -118,6 +118,6 @@ def quality(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "
     or empty text gets the score of the constant. Repeated rows have equal scores; columns of docs with the names of the
     added ones are replaced, others are kept.
     """
-    texts, y = labelled.sample(docs, labels, label, ~held_out, per_class)
-    scored = docs.withColumns({"held_out": held_out, "score": scoring(learn(texts, y))(F.col("text").cast("string"))})
+    model = labelled.learned(labelled.sample(docs, labels, label, ~held_out, per_class), lambda texts, y, _: learn(texts, y))
+    scored = docs.withColumns({"held_out": held_out, "score": scoring(model)(F.col("text").cast("string"))})
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

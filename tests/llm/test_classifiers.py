@@ -93,10 +93,15 @@ def test_the_sample_is_bounded_where_a_labelled_doc_id_repeats(spark):
     docs = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
     labels = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     labels = labels.union(labels.filter("doc_id = 1")).union(labels.filter("doc_id = 1"))
-    texts, y = labelled.sample(docs, labels, "toxic", F.lit(True), 1000)
-    assert len(texts) == len(y) <= 2000 and sum(y) <= 1000
-    again, _ = labelled.sample(docs.repartition(13), labels, "toxic", F.lit(True), 1000)
-    assert again == texts
+    rows = labelled.sample(docs, labels, "toxic", F.lit(True), 1000).collect()
+    assert len(rows) <= 2000 and sum(r["y"] for r in rows) <= 1000
+    assert len({(r["doc_id"], r["y"]) for r in rows}) == len(rows)
+    again = labelled.sample(docs.repartition(13), labels, "toxic", F.lit(True), 1000).collect()
+    assert sorted(again) == sorted(rows)
+    order = lambda df: labelled.learned(df, lambda texts, y, more: (texts, y.tolist(), more))
+    texts, y, more = order(labelled.sample(docs, labels, "toxic", F.lit(True), 1000))
+    assert texts == [r["text"] for r in sorted(rows)] and y == [r["y"] for r in sorted(rows)] and set(more) == {None}
+    assert order(labelled.sample(docs.limit(0), labels, "toxic", F.lit(True), 1000)) == ([], [], [])
 
 
 def test_follow_the_regularised_leader_equals_a_loop_over_weights():
