@@ -8,6 +8,7 @@ the same byte are links, and these ends cut the text into groups of tokens that
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ class _Pieces:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lists = self.model.encode(texts, out_type=int, num_threads=1)
         begins = np.concatenate([[0], np.cumsum([len(ids) for ids in lists], dtype=np.int64)])
-        return np.fromiter((i for ids in lists for i in ids), np.int32, begins[-1]), begins
+        return np.fromiter(chain.from_iterable(lists), np.int32, begins[-1]), begins
 
 
 class _Side:
