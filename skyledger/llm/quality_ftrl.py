@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,6 @@ from skyledger.llm import labelled
 from skyledger.llm import text_arrays as ta
 
 BITS = 18
-#: Texts of each class to learn from, at most.
-PER_CLASS = 4_000
 PASSES = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 #: n-gram frequencies are scaled by this, so that a text of one n-gram can outweigh the constant.
@@ -73,32 +72,60 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(linear, -60, 60)))
 
 
-def learn(texts: list[str], y: np.ndarray, passes: int = PASSES) -> Model:
-    """A model from texts and labels; without both classes, one that gives every text the share of the class there is."""
-    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+def _rows(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams of each text and their values, and the constant."""
     rows = []
     for run in ta.runs(labelled.as_column(texts)):
         index, begins = features(run)
         for i in range(run.count):
             own, counts = np.unique(index[begins[i] : begins[i + 1]], return_counts=True)
             rows.append((np.append(own, 1 << BITS), np.append(SCALE * counts / max(counts.sum(), 1), 1.0)))
+    return rows
+
 
-    def current(i: np.ndarray) -> np.ndarray:
-        shrunk = np.sign(z[i]) * np.maximum(np.abs(z[i]) - L1, 0)
-        return -shrunk / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
+def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    shrunk = np.sign(z) * np.maximum(np.abs(z) - L1, 0)
+    return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
+
+def _train(sums: np.ndarray, texts: list[str], y: np.ndarray, passes: int = 1) -> np.ndarray:
+    """The sums z and n of each n-gram, the constant last, after some passes over texts."""
+    z, n = sums[:, 0].copy(), sums[:, 1].copy()
+    rows = _rows(texts)
     for _ in range(passes):
         for (i, x), label in zip(rows, y):
-            w = current(i)
+            w = _weights(z[i], n[i])
             p = 1 / (1 + np.exp(-np.clip(w @ x, -60, 60)))
             g = (p - label) * x
             more = n[i] + g * g
             z[i] += g - (np.sqrt(more) - np.sqrt(n[i])) / ALPHA * w
             n[i] = more
-    w = current(np.arange((1 << BITS) + 1))
+    return np.stack([z, n], axis=1)
+
+
+def _model(sums: np.ndarray) -> Model:
+    w = _weights(sums[:, 0], sums[:, 1])
     return Model(w[:-1].astype(np.float32), float(w[-1]))
 
 
+def _start() -> np.ndarray:
+    return np.zeros(((1 << BITS) + 1, 2))
+
+
+def learn(texts: list[str], y: np.ndarray, passes: int = PASSES) -> Model:
+    """A model from texts and labels in one place; without both classes, one that gives every text the share of the class there is."""
+    return _model(_train(_start(), texts, y, passes))
+
+
+def learn_all(rows: DataFrame, passes: int = PASSES) -> Model:
+    """A model of all labelled texts, dealt to tasks whose sums are averaged after each pass (:func:`labelled.mixed`)."""
+
+    def one_pass(models: list[np.ndarray], found: pd.DataFrame, turn: int) -> list[np.ndarray]:
+        return [_train(models[0], found["text"].tolist(), found["y"].to_numpy())]
+
+    return _model(labelled.mixed(rows, [_start()], one_pass, passes)[0])
+
+
 def scoring(model: Model):
     """An Arrow function from texts to scores."""
 
@@ -110,14 +137,17 @@ def scoring(model: Model):
     return score
 
 
-def quality(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", per_class: int = PER_CLASS, threshold: float = 0.5) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", per_class: int | None = None, threshold: float = 0.5) -> DataFrame:
     """docs with held_out, score (the higher, the likelier label 1) and predicted added to each row.
 
-    The model learns from at most ``per_class`` labelled documents of each class (labels has doc_id and the label) for
-    which held_out, a condition on doc_id, does not hold; the choice is stable. Scores follow from the text alone. A null
+    The model learns from all labelled documents (labels has doc_id and the label) for which held_out, a condition on
+    doc_id, does not hold, or from ``per_class`` of each class in one task if asked to; the choice is stable. Scores follow from the text alone. A null
     or empty text gets the score of the constant. Repeated rows have equal scores; columns of docs with the names of the
     added ones are replaced, others are kept.
     """
-    model = labelled.learned(labelled.sample(docs, labels, label, ~held_out, per_class), lambda texts, y, _: learn(texts, y))
+    if per_class is None:
+        model = learn_all(labelled.dealt(docs, labels, label, ~held_out))
+    else:
+        model = labelled.learned(labelled.sample(docs, labels, label, ~held_out, per_class), lambda texts, y, _: learn(texts, y))
     scored = docs.withColumns({"held_out": held_out, "score": scoring(model)(F.col("text").cast("string"))})
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import labelled, quality_ftrl, toxicity
@@ -104,6 +105,32 @@ def test_the_sample_is_bounded_where_a_labelled_doc_id_repeats(spark):
     assert order(labelled.sample(docs.limit(0), labels, "toxic", F.lit(True), 1000)) == ([], [], [])
 
 
+@pytest.mark.parametrize("operator, label", [(toxicity.toxicity, "toxic"), (quality_ftrl.quality, "quality")])
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch, operator, label):
+    # the word that only the last rows of the order have, in either class beyond 4,200 of them
+    monkeypatch.setattr(labelled, "TASK_TEXTS", 2000)
+    ids = spark.range(9000).withColumn("r", labelled.rank("learn", F.col("id")))
+    y = (F.col("id") % 2).cast("int")
+    place = F.row_number().over(Window.partitionBy(y).orderBy("r", "id"))
+    word = F.when(place > 4200, F.when(y == 1, "grumblefrost").otherwise("meadowlight")).otherwise(F.when(y == 1, "nasty").otherwise("plain"))
+    known = ids.select(F.col("id").alias("doc_id"), F.concat(word, F.lit(" it is")).alias("text"), y.alias(label))
+    probes = spark.createDataFrame([(-1, "grumblefrost it is"), (-2, "meadowlight it is")], "doc_id long, text string")
+    docs, labels = known.drop(label).union(probes).withColumn("lang", F.lit("en")), known.select("doc_id", label)
+    got = {r["doc_id"]: r["predicted"] for r in operator(docs, labels, F.col("doc_id") < 0).filter("doc_id < 0").collect()}
+    assert got == {-1: 1, -2: 0}
+
+
+def test_tasks_share_what_they_learn(larger, monkeypatch):
+    monkeypatch.setattr(labelled, "TASK_TEXTS", 500)
+    for run in range(2):
+        scored = toxicity.toxicity(larger("documents").repartition(5 + run), larger("labels"), held(4, 2))
+        accuracy, caught, spared = judged(scored, larger("labels"), "toxic")
+        assert accuracy > 0.95 and caught > 0.8 and spared > 0.97
+        scores = sorted((r["doc_id"], r["score"]) for r in scored.select("doc_id", "score").collect())
+        assert run == 0 or np.allclose(scores, first, rtol=0, atol=1e-12)
+        first = scores
+
+
 def test_follow_the_regularised_leader_equals_a_loop_over_weights():
     from skyledger.llm import text_arrays as ta
 
