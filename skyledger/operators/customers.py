@@ -17,18 +17,18 @@ from ..functions.numeric import exact_mean, exact_sum, ratio, round_half_away
 from ..functions.rules import as_of_date, signal, stamped
 
 
-def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
+def customer_revenue(bookings: DataFrame, as_of=None, apart: bool = False) -> DataFrame:
     """Per customer: distinct bookings and flights, fares, ancillaries, booking dates and recency counts.
 
     The bookings are read once. Spark lays each row out once for either distinct count and once for the sums, with the
     columns each needs, and combines them by (customer, booking) and (customer, flight) before the shuffle, which
-    spreads a hot customer over all tasks. A consumer that uses no distinct count plans none.
+    spreads a hot customer over all tasks. A consumer that uses no distinct count plans none. Where bookings are cheap to
+    read, ``apart`` reads them twice: the rows laid out for the distinct counts then carry no sums.
     """
     cut = F.add_months(as_of_date(as_of), -V.CHURN_WINDOW_MONTHS)
     fare, booked_on = F.col("fare_paid_usd"), F.col("booking_date")
-    return bookings.groupBy("customer_id").agg(
-        F.countDistinct("booking_id").alias("total_bookings"),
-        F.countDistinct("flight_id").alias("total_flights"),
+    counts = [F.countDistinct("booking_id").alias("total_bookings"), F.countDistinct("flight_id").alias("total_flights")]
+    sums = [
         exact_sum(fare).alias("total_fare_revenue"),
         exact_mean(fare).alias("avg_fare_paid"),
         exact_sum(F.col("ancillary_revenue_usd")).alias("total_ancillary_revenue"),
@@ -37,7 +37,13 @@ def customer_revenue(bookings: DataFrame, as_of=None) -> DataFrame:
         F.count_if(booked_on >= cut).alias("bookings_recent"),
         F.count_if(booked_on < cut).alias("bookings_older"),
         F.count_if(F.col("cabin") == "business").alias("business_flights"),
-    )
+    ]
+    if not apart:
+        return bookings.groupBy("customer_id").agg(*counts, *sums)
+    summed = bookings.groupBy("customer_id").agg(*sums)
+    counted = bookings.groupBy("customer_id").agg(*counts).withColumnRenamed("customer_id", "_customer")
+    joined = counted.join(summed, F.col("_customer").eqNullSafe(F.col("customer_id")))
+    return joined.select("customer_id", "total_bookings", "total_flights", *summed.columns[1:])
 
 
 def customer_loyalty(loyalty: DataFrame) -> DataFrame:
@@ -63,7 +69,13 @@ def customer_satisfaction(reviews: DataFrame) -> DataFrame:
 
 
 def int_customer_metrics(
-    customers: DataFrame, bookings: DataFrame, loyalty: DataFrame, tickets: DataFrame, reviews: DataFrame, as_of=None
+    customers: DataFrame,
+    bookings: DataFrame,
+    loyalty: DataFrame,
+    tickets: DataFrame,
+    reviews: DataFrame,
+    as_of=None,
+    apart: bool = False,
 ) -> DataFrame:
     """One row per customer with lifetime value, attach rate, three churn signals, their score and recency.
 
@@ -74,7 +86,7 @@ def int_customer_metrics(
         customers.select(
             "customer_id", "segment", "loyalty_tier", "loyalty_member", "preferred_cabin", "age_group", "country"
         )
-        .join(customer_revenue(bookings, as_of), "customer_id", "left")
+        .join(customer_revenue(bookings, as_of, apart), "customer_id", "left")
         .join(customer_loyalty(loyalty), "customer_id", "left")
         .join(customer_tickets(tickets), "customer_id", "left")
         .join(customer_satisfaction(reviews), "customer_id", "left")

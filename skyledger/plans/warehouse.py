@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
+import uuid
 from collections.abc import Mapping
 from functools import cached_property
 
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import fixed_values as V
 from ..operators import customers, routes, staging, star
-from ..sources.tables import bind_views, ensure_database, replace_table
+from ..sources import storage
+from ..sources.tables import bind_views, ensure_database, replace_table, write_parquet
 
 STAGING = (
     "stg_bookings",
@@ -48,6 +50,7 @@ class Warehouse:
         run_ts: dt.datetime | None = None,
     ):
         self.raw, self.as_of, self.hub, self.run_ts = raw, as_of, hub, run_ts
+        self.bookings_stored = False
 
     def __getitem__(self, table: str) -> DataFrame:
         return getattr(self, table)
@@ -83,7 +86,13 @@ class Warehouse:
     @cached_property
     def int_customer_metrics(self) -> DataFrame:
         return customers.int_customer_metrics(
-            self.stg_customers, self.stg_bookings, self.stg_loyalty, self.stg_tickets, self.stg_reviews, self.as_of
+            self.stg_customers,
+            self.stg_bookings,
+            self.stg_loyalty,
+            self.stg_tickets,
+            self.stg_reviews,
+            self.as_of,
+            self.bookings_stored,
         )
 
     @cached_property
@@ -131,16 +140,27 @@ class Warehouse:
         """Bind staging as views, store metrics and marts below ``location`` and return the stored tables.
 
         The metric tables are stored first and the marts read them from storage, so nothing is computed twice and
-        a lost executor never sends a mart back to the raw feeds. ``partition_by`` names a folder column per
+        a lost executor never sends a mart back to the raw feeds. Staged bookings are written once for all that read them and
+        deleted at the end. ``partition_by`` names a folder column per
         table, such as ``flight_year`` for the facts; that column then comes last.
         """
         layout = partition_by or {}
         bind_views({name: self[name] for name in STAGING})
+        # the metrics and the fact read the bookings, however they are made, from one copy that goes with the job
+        copy = posixpath.join(location, f"_stg_bookings-{uuid.uuid4().hex}")
+        staged = self.stg_bookings
+        for name in ("int_customer_metrics", "int_route_metrics", "fact_bookings"):
+            self.__dict__.pop(name, None)
         stored = {}
-        for database, names in ((metrics_database, METRICS), (marts_database, MARTS)):
-            folder = posixpath.join(location, database)
-            ensure_database(spark, database, folder)
-            for name in names:
-                stored[name] = replace_table(self[name], database, name, folder, layout.get(name))
-                setattr(self, name, stored[name])
+        try:
+            self.stg_bookings, self.bookings_stored = write_parquet(staged, copy), True
+            for database, names in ((metrics_database, METRICS), (marts_database, MARTS)):
+                folder = posixpath.join(location, database)
+                ensure_database(spark, database, folder)
+                for name in names:
+                    stored[name] = replace_table(self[name], database, name, folder, layout.get(name))
+                    setattr(self, name, stored[name])
+        finally:
+            self.stg_bookings, self.bookings_stored = staged, False
+            storage.delete(spark, copy)
         return stored

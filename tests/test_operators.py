@@ -55,6 +55,12 @@ def test_staging_labels(wh):
     assert ("B2", True) in cancelled and ("B6", False) in cancelled
 
 
+def test_customer_revenue_is_the_same_when_counted_apart(wh):
+    together, apart = (customers.customer_revenue(wh.stg_bookings, R.AS_OF, apart=a) for a in (False, True))
+    assert apart.columns == together.columns
+    assert sorted(map(str, apart.collect())) == sorted(map(str, together.collect()))
+
+
 def test_customer_revenue_counts_distinct_ids_and_keeps_the_unknown_customer(wh):
     got = by(customers.customer_revenue(wh.stg_bookings, R.AS_OF), "customer_id")
     assert set(got) == {"C1", "C2", "C3", None}

@@ -399,3 +399,24 @@ def test_names_that_are_words_of_sql_and_paths_with_odd_characters(spark, tmp_pa
     assert spark.table("`order`.`table`").count() == 2
     tables.replace_table(spark.range(3), "order", "table")
     assert spark.table("`order`.`table`").count() == 3
+
+
+def test_storing_reads_the_raw_bookings_once_and_leaves_no_copy(spark, tmp_path):
+    raw, read = dict(R.raw_feeds(spark)), spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        read.add(1)
+        return True
+
+    rows = raw["bookings"].filter("booking_id is not null").count()
+    raw["bookings"] = raw["bookings"].filter(counted("booking_id"))
+    wh = Warehouse(raw, R.AS_OF)
+    planned = wh.int_customer_metrics.count(), wh.stg_bookings
+    read.value = 0
+    stored = wh.store(spark, str(tmp_path), "once_intermediate", "once_marts")
+    assert read.value == rows
+    assert stored["int_customer_metrics"].count() == planned[0] and wh.stg_bookings is planned[1]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["once_intermediate", "once_marts"]
+    want = sorted(map(str, Warehouse(R.raw_feeds(spark), R.AS_OF).int_customer_metrics.collect()))
+    assert sorted(map(str, stored["int_customer_metrics"].collect())) == want
