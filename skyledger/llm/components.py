@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.frames import split_join
@@ -10,40 +10,42 @@ from skyledger.llm.durable import durable
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link the larger neighbours of every node to the least node of its neighbourhood."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return split_join(both, least, ["u"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    """Link the larger neighbours of every node to the least node of its neighbourhood. Edges run from u to a smaller v."""
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = edges.select(F.inline(ends)).groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+    return split_join(edges, least, ["v"]).select("u", F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link the smaller neighbours of every node, and the node itself, to the least of them.
 
     A node has few smaller neighbours after a large star, whatever its links were, since each of them is the least of
-    some neighbourhood.
+    some neighbourhood. Links may repeat, but are never more than before.
     """
-    least = edges.distinct().withColumn("m", F.min("v").over(Window.partitionBy("u")))
-    ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
-    return least.select(F.inline(ends)).filter("u <> v").distinct()
+    linked = edges.groupBy("u").agg(F.collect_set("v").alias("vs")).select("u", "vs", F.array_min("vs").alias("m"))
+    ends = F.transform(F.concat("vs", F.array("u")), lambda x: F.struct(x.alias("u"), F.col("m").alias("v")))
+    return linked.select(F.inline(ends)).filter("u <> v")
 
 
 def _is_star(edges: DataFrame) -> bool:
     """Whether every node is linked to one smaller node, its root, and no root to a smaller one."""
-    ends = edges.select(F.inline(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))))
-    per_node = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
-    return per_node.filter("up > 1 or (up = 1 and least = 0)").isEmpty()
+    ends = F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("to")), F.struct(F.col("v").alias("x"), F.lit(None).cast("long").alias("to")))
+    per_node = edges.select(F.inline(ends)).groupBy("x").agg(F.min("to").alias("least"), F.max("to").alias("most"), F.bool_or(F.isnull("to")).alias("above"))
+    return per_node.filter("least <> most or (above and least is not null)").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """Nodes and the least node that each can reach, from edges (u, v) of longs.
 
     Nodes without an edge to another node are not in the result; loops and repeated edges change nothing; a null in
-    either column makes a row no edge. A hub of many links is split over tasks; the number of steps grows with the
+    either column makes a row no edge; edges are read twice. A hub of many links is split over tasks; the number of steps grows with the
     logarithm of the longest path.
     """
     known = edges.filter("u <> v")
-    star = durable(known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    while not _is_star(star):
+    star = known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    while True:
         star = durable(_small_star(_large_star(star)))
-    roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        if _is_star(star):
+            break
+    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return star.select(F.inline(ends)).distinct()

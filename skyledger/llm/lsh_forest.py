@@ -32,8 +32,8 @@ TREES = 16
 #: A region begins at this many common digits. Two documents of similarity s share a region of a given tree with
 #: probability s^FIRST_DEPTH; at 0.8 all sixteen trees miss a pair once in 5,000 times, at 0.85 once in 130,000 times.
 FIRST_DEPTH = 4
-#: Depths by which crowded regions are parted further, a few at a time.
-DEEPER = ((5, 6, 8), (10, 12, 16), (24, 32, 64))
+#: Depths by which crowded regions are parted further.
+DEEPER = (5, 6, 8, 10, 12, 16, 24, 32, 64)
 #: Regions of at most this many documents are compared in full, so a document meets its nearest neighbours of each tree.
 FULL_REGION = 24
 #: Pairs whose signatures agree in fewer digits than this share of the required similarity are not compared: more than
@@ -66,26 +66,26 @@ def _signatures(sets: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketcher(width: int, keep_sets: bool):
-    """Maps (doc_id, text) to the size and digest of each text's set, with its signature or with the set itself."""
+def _sketcher(width: int, kept: str | None = None):
+    """Maps (doc_id, text) to the size and digest of each text's set with its signature.
+
+    With the name of an id kept, maps (id, text, _low, _high) to these without the text, the digest and the set itself.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = ta.seeds(DIGITS, 23)
         for batch in batches:
-            ids = batch.column("doc_id")
             for first, sets in _sets(batch, width):
                 low = np.array([s.sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
                 high = np.array([ta.mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
-                columns = {
-                    "doc_id": ids.slice(first, len(sets)),
-                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "low": pa.array(low.view(np.int64)),
-                    "high": pa.array(high.view(np.int64)),
-                }
-                if keep_sets:
-                    columns["shingles"] = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                digest = {"low": pa.array(low.view(np.int64)), "high": pa.array(high.view(np.int64))}
+                of = lambda name: batch.column(name).slice(first, len(sets))  # noqa: E731, B023
+                if kept:
+                    shingles = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                    columns = {kept: of(kept), **digest, "_low": of("_low"), "_high": of("_high"), "shingles": shingles}
                 else:
-                    columns["signature"] = pa.array([r.tobytes() for r in _signatures(sets, multipliers)], pa.binary())
+                    signature = pa.array([r.tobytes() for r in _signatures(sets, multipliers)], pa.binary())
+                    columns = {"doc_id": of("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()), **digest, "signature": signature}
                 yield pa.RecordBatch.from_pydict(columns)
 
     return sketch
@@ -151,7 +151,7 @@ def _prefix(depth: int) -> Column:
 def sketches(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, the size of each text's shingle set, a digest (low, high) of the set and its signature."""
     schema = "doc_id long, n_shingles long, low long, high long, signature binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketcher(width, False), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketcher(width), schema)
 
 
 class _Forest:
@@ -165,20 +165,21 @@ class _Forest:
         #: Rows of regions with more than one document, with the first of the region.
         self.rows = durable(split_join(rows, shared.drop("last"), ["t", "key"]))
         members = self.rows.select("node").distinct()
-        #: Signatures and full sets of these documents.
-        self.signatures = durable(split_join(reps, members, ["node"], "left_semi").dropDuplicates(["node"]))
-        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        texts = own.join(self.signatures.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates()
-        sets = texts.mapInArrow(_sketcher(width, True), "doc_id long, n_shingles long, low long, high long, shingles array<long>")
-        same = ["node", "low", "high"]
-        self.sets = durable(sets.withColumnRenamed("doc_id", "node").join(self.signatures.select(*same), same, "left_semi").select("node", "shingles"))
+        #: Signatures and full sets of these documents. No document has many rows, so these joins need no splitting.
+        self.signatures = durable(reps.join(members, "node", "left_semi").dropDuplicates(["node"]))
+        own = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+        digests = self.signatures.select("node", F.col("low").alias("_low"), F.col("high").alias("_high"))
+        texts = own.join(digests, "node").dropDuplicates()
+        sets = texts.mapInArrow(_sketcher(width, "node"), "node long, low long, high long, _low long, _high long, shingles array<long>")
+        # of texts that share an id those of the document itself
+        self.sets = durable(sets.filter("low = _low and high = _high").select("node", "shingles"))
 
     def first_candidates(self) -> DataFrame:
         """Every document with the first one of each of its regions."""
         return self.rows.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
     def candidates(self, groups: DataFrame) -> DataFrame:
-        """Pairs of documents of different groups that stand together in a region.
+        """Pairs of documents of different groups that stand together in a region; some are repeated.
 
         A region of few documents gives all such pairs, a crowded one those with its first document. Documents of crowded
         regions are taken on to deeper prefixes, and each is compared in full in the largest of its regions there that is
@@ -187,27 +188,23 @@ class _Forest:
         named = split_join(self.rows.drop("first"), groups, ["node"], "left")
         rows = named.select("t", F.lit(FIRST_DEPTH).alias("depth"), "key", "node", F.coalesce("component", "node").alias("group"))
         shared = durable(self._with_regions(rows))
-        few, crowded = [shared.filter(F.col("n") <= FULL_REGION)], [shared.filter(F.col("n") > FULL_REGION)]
-        front = crowded[0]
-        for depths in DEEPER:
-            if front.isEmpty():
-                break
+        front = shared.filter(F.col("n") > FULL_REGION)
+        few, crowded = shared.filter(F.col("n") <= FULL_REGION), front
+        if not front.isEmpty():
             turned = split_join(front.select("node", "group", "t"), self.signatures.select("node", "signature"), ["node"])
-            prefixes = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("key")) for d in depths])
+            prefixes = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("key")) for d in DEEPER])
             # stored, since its regions are counted and joined back to it
             parted = durable(turned.select("t", "node", "group", F.inline(prefixes)))
             deep = durable(self._with_regions(parted))
-            small = F.min(F.when(F.col("n") <= FULL_REGION, F.col("depth"))).over(Window.partitionBy("node", "t"))
-            few.append(deep.withColumn("small", small).filter("depth = small").drop("small"))
-            crowded.append(deep.filter(F.col("n") > FULL_REGION))
-            front = crowded[-1].filter(F.col("depth") == depths[-1])
-        few, crowded = (reduce(DataFrame.unionByName, rows) for rows in (few, crowded))
-        place = ["t", "depth", "key"]
-        other = few.select(*place, F.col("node").alias("other"), F.col("group").alias("other_group"))
-        full = few.join(other, place).filter("node < other and group <> other_group")
+            small = deep.filter(F.col("n") <= FULL_REGION)
+            least = small.withColumn("small", F.min("depth").over(Window.partitionBy("node", "t"))).filter("depth = small").drop("small")
+            few, crowded = few.unionByName(least), crowded.unionByName(deep.filter(F.col("n") > FULL_REGION))
+        # a small region is held by one row; each of its documents meets those of other groups above it
+        regions = few.groupBy("t", "depth", "key").agg(F.collect_list(F.struct("node", "group")).alias("held"))
+        meets = lambda x: F.transform(F.filter("held", lambda y: (x["node"] < y["node"]) & (x["group"] != y["group"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
+        full = regions.select(F.inline(F.flatten(F.transform("held", meets))))
         first = crowded.filter("group <> first_group and node <> first")
-        pairs = full.select(F.col("node").alias("a"), F.col("other").alias("b"))
-        return pairs.unionByName(first.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
+        return full.unionByName(first.select(F.col("first").alias("a"), F.col("node").alias("b")))
 
     def crowd_links(self, groups: DataFrame) -> DataFrame | None:
         """All links between different groups of a crowd; None if there is no crowd.
@@ -223,8 +220,9 @@ class _Forest:
             return None
         crowds = connected_components(crowded.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct())
         step = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * np.log(100 / self.per_cent))).cast("int")
-        members = split_join(crowds.withColumnRenamed("component", "crowd"), crowded.select("node", "group").distinct(), ["node"])
-        members = split_join(members, self.sets, ["node"]).withColumn("n", F.size("shingles").cast("long")).withColumn("step", step)
+        # each of the three has a document once
+        members = crowds.withColumnRenamed("component", "crowd").join(crowded.groupBy("node").agg(F.min("group").alias("group")), "node")
+        members = members.join(self.sets, "node").withColumn("n", F.size("shingles").cast("long")).withColumn("step", step)
         members = durable(members)
         place = ["crowd", "step", "group"]
         sizes = members.groupBy(*place).agg(F.count("*").alias("in_group")).withColumn("own", F.when(F.col("in_group") >= BLOCK, F.col("group")))
@@ -259,7 +257,7 @@ class _Forest:
         # an intersection of at least this size makes the pair a link
         need = F.ceil(self.per_cent * (F.col("n_a") + F.col("n_b")) / (100 + self.per_cent)).cast("long").alias("need")
         likely = sized.select("a", "b", need, "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long, need long, share double")
-        likely = durable(likely.filter(F.col("share") >= ESTIMATE_SHARE * self.per_cent / 100).select("a", "b", "need"))
+        likely = likely.filter(F.col("share") >= ESTIMATE_SHARE * self.per_cent / 100).select("a", "b", "need")
         one = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         two = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
         both = split_join(split_join(likely, one, ["a"]), two, ["b"])
@@ -270,15 +268,20 @@ class _Forest:
         tried = durable(self.first_candidates())
         links = durable(self.confirmed(tried))
         groups = connected_components(links)
-        pairs = durable(split_join(self.candidates(groups), tried, ["a", "b"], "left_anti"))
+        pairs = self.candidates(groups).withColumn("again", F.lit(False)).unionByName(tried.withColumn("again", F.lit(True)))
+        pairs = durable(pairs.groupBy("a", "b").agg(F.bool_or("again").alias("again")).filter("not again").drop("again"))
         if not pairs.isEmpty():
             more = durable(self.confirmed(pairs))
             if not more.isEmpty():
-                links = links.unionByName(more)
-                groups = connected_components(links)
+                groups = connected_components(more.unionByName(self._star(groups)))
         last = self.crowd_links(groups)
         last = durable(last) if last is not None else None
-        return groups if last is None or last.isEmpty() else connected_components(links.unionByName(last))
+        return groups if last is None or last.isEmpty() else connected_components(last.unionByName(self._star(groups)))
+
+    @staticmethod
+    def _star(groups: DataFrame) -> DataFrame:
+        """Links that hold groups together."""
+        return groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) -> DataFrame:
@@ -296,12 +299,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) ->
     sketch = durable(sketches(docs, width))
     named = sketch.filter("doc_id is not null and n_shingles > 0")
     # equal sets are one node, whatever their number; its name is the least doc_id of them
-    classes = named.groupBy("low", "high").agg(F.min("doc_id").alias("node"))
-    placed = durable(split_join(named, classes, ["low", "high"]))
-    reps = placed.filter("doc_id = node").select("node", "low", "high", "n_shingles", "signature")
-    groups = _Forest(docs, reps, similarity, width).grow()
-    shown = split_join(placed.select("doc_id", "n_shingles", "node"), groups, ["node"], "left")
-    shown = shown.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    least = F.min_by(F.struct("n_shingles", "signature"), "doc_id").alias("of")
+    classes = durable(named.groupBy("low", "high").agg(F.min("doc_id").alias("node"), least).select("node", "low", "high", "of.*"))
+    groups = _Forest(docs, classes, similarity, width).grow()
+    grouped = classes.select("node", "low", "high").join(groups, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))
+    shown = split_join(named.select("doc_id", "n_shingles", "low", "high"), grouped, ["low", "high"]).select("doc_id", "n_shingles", "component_id")
     lone = sketch.filter("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return shown.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

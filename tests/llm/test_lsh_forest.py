@@ -5,6 +5,7 @@ import pytest
 
 from skyledger.llm import lsh_forest
 from skyledger.llm.components import connected_components
+from skyledger.llm.durable import durable
 from skyledger.llm.lsh_forest import near_duplicates, without_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -114,6 +115,16 @@ def test_a_crowd_of_loose_copies_equals_all_pairs(frame, monkeypatch, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_crowded_regions_are_parted_in_one_step(frame, monkeypatch):
+    steps = []
+    monkeypatch.setattr(lsh_forest, "durable", lambda df: steps.append(df) or durable(df))
+    rows = loose_family(300, 3, swaps=9)
+    got = near_duplicates(frame(rows, "doc_id long, text string"), 0.85, 3).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_by_bits(rows, 85, 3)
+    # classes, regions, signatures and sets, candidates and links of two passes, two layouts of crowded regions, crowds
+    assert 10 < len(steps) <= 16
+
+
 def test_awkward_rows(awkward):
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_duplicates(awkward, 0.85, 3).collect()}
     assert got[2, 0] == (2, True) and got[3, 0] == (3, True) and got[4, 0] == (4, True)
@@ -161,3 +172,8 @@ def test_components_of_paths_stars_and_loops(spark):
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 300)} | {500: 500, 501: 500}
     assert got == want
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_components_are_found_once_from_repeated_links(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (2, 3), (1, 3)] * 3, "u long, v long")
+    assert sorted(map(tuple, connected_components(edges).collect())) == [(1, 1), (2, 1), (3, 1)]
