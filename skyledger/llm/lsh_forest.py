@@ -45,7 +45,7 @@ BLOCK, STEP = 128, 8192
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """For every run of texts its first row and the sorted distinct shingles of each text."""
-    for run in ta.runs(batch.column("text")):
+    for run in ta.runs(batch.column("text"), ta.SMALL_RUN_BYTES):
         w = ta.words(run, ~ta.WHITE, ta.FOLD)
         hashes, begins = ta.shingles(w.hashes, w.at, width)
         yield run.first, [np.unique(hashes[begins[i] : begins[i + 1]]) for i in range(run.count)]

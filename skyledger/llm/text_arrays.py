@@ -11,6 +11,8 @@ import pyarrow as pa
 
 #: Texts are handled in runs of about this many bytes, so that the working arrays stay small; a longer text is a run.
 RUN_BYTES = 1 << 20
+#: The same where each word takes arrays of many values, which a worker keeps for the next task.
+SMALL_RUN_BYTES = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

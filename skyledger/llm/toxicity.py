@@ -126,7 +126,7 @@ def _rarity(share: float) -> float:
 def _streams(texts: list[str]) -> list[np.ndarray]:
     """The rows of the table for the words of each text, with padding after it."""
     out = []
-    for run in ta.runs(labelled.as_column(texts)):
+    for run in ta.runs(labelled.as_column(texts), ta.SMALL_RUN_BYTES):
         s = stream(run)
         out += [s.rows[:, b : e + _GAP] for b, e in zip(s.begin, s.end)]
     return out
@@ -360,7 +360,7 @@ def calibrated(scores: np.ndarray, y: np.ndarray, languages: list[str | None], c
 
 
 def text_scores(net: Network, texts: pa.Array, products: np.ndarray) -> np.ndarray:
-    parts = [net.scores(stream(run), products) for run in ta.runs(texts)]
+    parts = [net.scores(stream(run), products) for run in ta.runs(texts, ta.SMALL_RUN_BYTES)]
     return np.concatenate(parts) if parts else np.zeros(0)
 
 

@@ -1,8 +1,10 @@
 """Both classifiers are held to their accuracy on labels they have not seen."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -183,3 +185,16 @@ def test_training_and_wider_filters_add_to_the_start_values(larger):
     for w in (2, 3):
         net.filters[w][:] = 0
     assert trained > auc(start) + 0.005 and trained > auc(net) + 0.005
+
+
+def test_scoring_takes_little_memory_besides_the_texts():
+    texts = pa.array([f"word{i % 97} and some more words of text " * 50 for i in range(2000)])
+    net = toxicity._start(np.ones((2, toxicity._PAD + 1), np.int64), 1)
+    products = net.products()
+    want = toxicity.text_scores(net, texts.slice(0, 10), products)
+    tracemalloc.start()
+    got = toxicity.text_scores(net, texts, products)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert np.allclose(got[:10], want)
+    assert peak < 40 << 20
