@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.sources.storage import shared_folder
@@ -13,3 +15,10 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffles and checkpoints that no frame refers to any more, which it does after the driver's garbage
+    collections only. Called where a job has put away large stored frames."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -120,10 +120,12 @@ def mixed(rows: DataFrame, models: list[np.ndarray], one_pass: Callable[[list[np
         got = by_task(rows, changes, schema).groupBy("model", "at").agg(*mean).toArrow()
         sent.destroy()
         model, at = got["model"].to_numpy(), got["at"].to_numpy()
-        step = np.stack([got[v].to_numpy() for v in values], axis=1)
-        models = [m.copy() for m in models]
+        # in place and column by column, since the driver has little memory
         for k, m in enumerate(models):
-            m[at[model == k]] += step[model == k]
+            own = model == k
+            for i, v in enumerate(values):
+                m[at[own], i] += got[v].to_numpy()[own]
+        del got, model, at
     return [m.astype(np.float64) for m in models]
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.frames import split_join
 from skyledger.llm import text_arrays as ta
 from skyledger.llm.components import connected_components
-from skyledger.llm.durable import durable
+from skyledger.llm.durable import durable, release
 
 DIGITS = 64
 TREES = 16
@@ -274,6 +274,7 @@ class _Forest:
             more = durable(self.confirmed(pairs))
             if not more.isEmpty():
                 groups = connected_components(more.unionByName(self._star(groups)))
+        release(groups.sparkSession)
         last = self.crowd_links(groups)
         last = durable(last) if last is not None else None
         return groups if last is None or last.isEmpty() else connected_components(last.unionByName(self._star(groups)))
@@ -296,15 +297,17 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) ->
     doc_id each gets the group of its own text. A row without doc_id takes no part in links: its component_id is null
     and it is kept. An empty table gives an empty result.
     """
-    sketch = durable(sketches(docs, width))
-    named = sketch.filter("doc_id is not null and n_shingles > 0")
+    # told by a stored flag: of a filter by comparison Spark makes bloom filters for the join below, MBs that each stage carries
+    sketch = durable(sketches(docs, width).withColumn("in_groups", F.expr("doc_id is not null and n_shingles > 0")))
+    named = sketch.filter("in_groups")
     # equal sets are one node, whatever their number; its name is the least doc_id of them
     least = F.min_by(F.struct("n_shingles", "signature"), "doc_id").alias("of")
     classes = durable(named.groupBy("low", "high").agg(F.min("doc_id").alias("node"), least).select("node", "low", "high", "of.*"))
     groups = _Forest(docs, classes, similarity, width).grow()
+    release(docs.sparkSession)  # the forest's rows and sets
     grouped = classes.select("node", "low", "high").join(groups, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))
     shown = split_join(named.select("doc_id", "n_shingles", "low", "high"), grouped, ["low", "high"]).select("doc_id", "n_shingles", "component_id")
-    lone = sketch.filter("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    lone = sketch.filter(~F.col("in_groups")).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return shown.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -326,8 +326,8 @@ def learn_calibrated(rows: DataFrame, common: float, passes: int = PASSES) -> tu
 
     nets = [_start(s, 5) for s in (seen if halves else seen[:1])]
     if share[0] not in (0, 1):
-        models = [np.concatenate([_packed(net), _packed(_squares())], axis=1) for net in nets]
-        nets = [_unpacked(m[:, :SIZE]) for m in labelled.mixed(rows, models, one_pass, passes)]
+        mixed = labelled.mixed(rows, [np.concatenate([_packed(net), _packed(_squares())], axis=1) for net in nets], one_pass, passes)
+        nets = [_unpacked(m[:, :SIZE]) for m in mixed]
     net = nets[0]
     found = _values(rows, nets[1:] or nets)
     value, y, n = found["value"].to_numpy() / VALUE_UNIT, found["y"].to_numpy(), found["n"].to_numpy()

@@ -177,3 +177,22 @@ def test_components_of_paths_stars_and_loops(spark):
 def test_components_are_found_once_from_repeated_links(spark):
     edges = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (2, 3), (1, 3)] * 3, "u long, v long")
     assert sorted(map(tuple, connected_components(edges).collect())) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_no_bloom_filter_is_planned(frame, spark, tmp_path):
+    made = frame([(i, f"w{i // 2} a b c d e f g h") for i in range(40)] + [(None, "x y z"), (99, " ")], "doc_id long, text string")
+    made.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    # as on large tables
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = near_duplicates(docs, 0.85, 3)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "bloom" not in plan and "might_contain" not in plan
+    assert found.count() == 42
