@@ -25,8 +25,11 @@ def _as_text(name: str, kind: T.DataType) -> Column:
     return F.concat_ws("/", *[x.cast("bigint").cast("string") for x in (units, F.floor(fine), F.floor(finest))])
 
 
-def _digest(text: Column) -> Column:
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
+def _total(text: Column) -> Column:
+    """The sum of the digests (48 bits) of a column's values as text, added up as longs in two halves, which is exact below 2^39 rows."""
+    digest = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+    high, low = (F.sum(half).cast("decimal(20,0)") for half in (F.shiftright(digest, 24), digest.bitwiseAND(F.lit((1 << 24) - 1))))
+    return (high * F.lit(1 << 24).cast("decimal(8,0)") + low).cast("string")
 
 
 def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -38,10 +41,10 @@ def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
         cells = df.select(*[c.alias(n) for n, c in texts.items()])
         row = F.concat_ws("|", *[F.concat(F.lit(f"{n}="), F.coalesce(F.col(f"`{n}`"), F.lit("null"))) for n in sorted(texts)])
         each = [
-            F.struct(F.lit(n).alias("column_name"), F.count(f"`{n}`").alias("value_count"), F.sum(_digest(F.col(f"`{n}`"))).cast("string").alias("checksum"))
+            F.struct(F.lit(n).alias("column_name"), F.count(f"`{n}`").alias("value_count"), _total(F.col(f"`{n}`")).alias("checksum"))
             for n in texts
         ]
-        found = cells.agg(F.count(F.lit(1)).alias("row_count"), F.sum(_digest(row)).cast("string").alias("row_checksum"), F.array(*each).alias("each"))
+        found = cells.agg(F.count(F.lit(1)).alias("row_count"), _total(row).alias("row_checksum"), F.array(*each).alias("each"))
         return found.select(F.lit(name).alias("table_name"), "row_count", F.inline("each"), "row_checksum")
 
     return reduce(DataFrame.unionAll, [of(n, df) for n, df in tables.items()])

@@ -1,5 +1,7 @@
 """Every registered query against its check statement, in whole tables of two generated sizes."""
 
+import hashlib
+
 import duckdb
 import pytest
 
@@ -49,3 +51,14 @@ def test_contents_are_told_alike(spark):
 
 def test_entry(spark):
     assert registry.entry(spark).count() == 25
+
+
+def test_check_sums_are_added_up_as_longs(frame):
+    values = [f"v{i}" for i in range(500)] + [None]
+    found = contents({"t": frame([(v,) for v in values], "c string")})
+    digest = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:12], 16)
+    row = found.collect()[0]
+    assert row["checksum"] == str(sum(digest(v) for v in values[:-1]))
+    assert row["row_checksum"] == str(sum(digest(f"c={v or 'null'}") for v in values))
+    assert "sum(cast(conv(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert contents({"t": frame([(None,)], "c string")}).collect()[0]["checksum"] is None
