@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.frames import split_join
-from skyledger.llm.durable import durable
+from skyledger.llm.durable import counted
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,15 +27,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.select(F.inline(ends)).filter("u <> v")
 
 
-def _is_star(edges: DataFrame) -> bool:
-    """Whether every node is linked to one smaller node, its root, and no root to a smaller one."""
-    ends = F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("to")), F.struct(F.col("v").alias("x"), F.lit(None).cast("long").alias("to")))
-    per_node = edges.select(F.inline(ends)).groupBy("x").agg(F.min("to").alias("least"), F.max("to").alias("most"), F.bool_or(F.isnull("to")).alias("above"))
-    return per_node.filter("least <> most or (above and least is not null)").isEmpty()
+def _nodes(edges: DataFrame) -> DataFrame:
+    """Every node with the smaller nodes that it is linked to, and whether a larger one is linked to it."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("to")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("to")))
+    return edges.select(F.inline(ends)).groupBy("node").agg(F.collect_set("to").alias("to"), F.bool_or(F.isnull("to")).alias("root"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """Nodes and the least node that each can reach, from edges (u, v) of longs.
+    """Nodes, each once, and the least node that each can reach, from edges (u, v) of longs.
 
     Nodes without an edge to another node are not in the result; loops and repeated edges change nothing; a null in
     either column makes a row no edge; edges are read twice. A hub of many links is split over tasks; the number of steps grows with the
@@ -44,8 +43,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     known = edges.filter("u <> v")
     star = known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     while True:
-        star = durable(_small_star(_large_star(star)))
-        if _is_star(star):
-            break
-    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
-    return star.select(F.inline(ends)).distinct()
+        # a star if every node is linked to one smaller node, its root, and no root to a smaller one
+        nodes, found = counted(_nodes(_small_star(_large_star(star))), F.count_if(F.expr("size(to) > 1 or (root and size(to) > 0)")).alias("others"))
+        if not found["others"]:
+            return nodes.select("node", F.coalesce(F.get("to", F.lit(0)), "node").alias("component"))
+        star = nodes.select(F.col("node").alias("u"), F.explode("to").alias("v"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.sources.storage import shared_folder
 
@@ -17,6 +19,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a small stored frame that one task is meant to read, and tasks that read it at least.
+TASK_ROWS, LEAST_TASKS = 4096, 6
+
+
+def counted(df: DataFrame, *more: Column, store: Callable[[DataFrame], DataFrame] = durable) -> tuple[DataFrame, dict]:
+    """The stored rows of df, with their number as ``rows`` and further aggregates, taken while they are stored.
+
+    For narrow rows: a frame of few rows in many partitions is read by fewer tasks, in proportion to its rows.
+    """
+    seen = Observation()
+    stored = store(df.observe(seen, F.count(F.lit(1)).alias("rows"), *more))
+    found = seen.get
+    return stored.coalesce(max(LEAST_TASKS, -(-found["rows"] // TASK_ROWS))), found
+
+
 def release(spark: SparkSession) -> None:
     """Have Spark delete the shuffles and checkpoints that no frame refers to any more, which it does after the driver's garbage
     collections only. Called where a job has put away large stored frames."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.frames import split_join
 from skyledger.llm import text_arrays as ta
 from skyledger.llm.components import connected_components
-from skyledger.llm.durable import durable, release
+from skyledger.llm.durable import counted, durable, release
 
 DIGITS = 64
 TREES = 16
@@ -154,6 +154,11 @@ def sketches(docs: DataFrame, width: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketcher(width), schema)
 
 
+def _stored(df: DataFrame, *more: Column) -> tuple[DataFrame, dict]:
+    """Narrow rows stored by ``durable``, with their number."""
+    return counted(df, *more, store=durable)
+
+
 class _Forest:
     """The regions of representatives, and what the passes have found so far."""
 
@@ -163,10 +168,12 @@ class _Forest:
         rows = reps.select("node", trees, "signature").select("node", "t", _prefix(FIRST_DEPTH).alias("key"))
         shared = rows.groupBy("t", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
         #: Rows of regions with more than one document, with the first of the region.
-        self.rows = durable(split_join(rows, shared.drop("last"), ["t", "key"]))
+        self.rows, _ = _stored(split_join(rows, shared.drop("last"), ["t", "key"]))
+        #: Rows of the crowded regions that held several groups when candidates were taken, if there are any.
+        self.front: DataFrame | None = None
         members = self.rows.select("node").distinct()
         #: Signatures and full sets of these documents. No document has many rows, so these joins need no splitting.
-        self.signatures = durable(reps.join(members, "node", "left_semi").dropDuplicates(["node"]))
+        self.signatures, _ = _stored(reps.join(members, "node", "left_semi").dropDuplicates(["node"]))
         own = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
         digests = self.signatures.select("node", F.col("low").alias("_low"), F.col("high").alias("_high"))
         texts = own.join(digests, "node").dropDuplicates()
@@ -187,15 +194,16 @@ class _Forest:
         """
         named = split_join(self.rows.drop("first"), groups, ["node"], "left")
         rows = named.select("t", F.lit(FIRST_DEPTH).alias("depth"), "key", "node", F.coalesce("component", "node").alias("group"))
-        shared = durable(self._with_regions(rows))
+        shared, found = _stored(self._with_regions(rows), F.count_if(F.col("n") > FULL_REGION).alias("crowded"))
         front = shared.filter(F.col("n") > FULL_REGION)
         few, crowded = shared.filter(F.col("n") <= FULL_REGION), front
-        if not front.isEmpty():
+        if found["crowded"]:
+            self.front = front.select("t", "depth", "key", "node")
             turned = split_join(front.select("node", "group", "t"), self.signatures.select("node", "signature"), ["node"])
             prefixes = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("key")) for d in DEEPER])
             # stored, since its regions are counted and joined back to it
-            parted = durable(turned.select("t", "node", "group", F.inline(prefixes)))
-            deep = durable(self._with_regions(parted))
+            parted, _ = _stored(turned.select("t", "node", "group", F.inline(prefixes)))
+            deep, _ = _stored(self._with_regions(parted))
             small = deep.filter(F.col("n") <= FULL_REGION)
             least = small.withColumn("small", F.min("depth").over(Window.partitionBy("node", "t"))).filter("depth = small").drop("small")
             few, crowded = few.unionByName(least), crowded.unionByName(deep.filter(F.col("n") > FULL_REGION))
@@ -207,18 +215,20 @@ class _Forest:
         return full.unionByName(first.select(F.col("first").alias("a"), F.col("node").alias("b")))
 
     def crowd_links(self, groups: DataFrame) -> DataFrame | None:
-        """All links between different groups of a crowd; None if there is no crowd.
+        """All links between different groups of a crowd, some repeated; None if there is no crowd.
 
         Crowds are what crowded regions of several groups join together. A group of at least BLOCK documents of about one
         size gets blocks of its own, which are not held against each other, and the rest shares blocks. Sizes are cut into
         steps by the similarity, so that links lie within a step or between neighbouring ones.
         """
-        named = split_join(self.rows.drop("first"), groups, ["node"], "left")
-        rows = named.select("t", F.lit(FIRST_DEPTH).alias("depth"), "key", "node", F.coalesce("component", "node").alias("group"))
-        crowded = durable(self._with_regions(rows).filter(F.col("n") > FULL_REGION).select("node", "group", "first"))
-        if crowded.isEmpty():
+        if self.front is None:
+            return None
+        # groups have only been joined since, so regions of several groups are among those that were before
+        named = split_join(self.front, groups, ["node"], "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+        crowded, found = _stored(self._with_regions(named).select("node", "group", "first"))
+        if not found["rows"]:
             return None
-        crowds = connected_components(crowded.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct())
+        crowds = connected_components(crowded.select(F.col("first").alias("u"), F.col("node").alias("v")))
         step = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * np.log(100 / self.per_cent))).cast("int")
         # each of the three has a document once
         members = crowds.withColumnRenamed("component", "crowd").join(crowded.groupBy("node").agg(F.min("group").alias("group")), "node")
@@ -239,7 +249,7 @@ class _Forest:
         contents = blocks.select("block", F.col("held").alias("left"))
         both = split_join(pairs.select("block", "second"), contents, ["block"])
         both = split_join(both, contents.select(F.col("block").alias("second"), F.col("left").alias("right")), ["second"])
-        return both.select("left", "right").mapInArrow(_multiplier(self.per_cent), "u long, v long").distinct()
+        return both.select("left", "right").mapInArrow(_multiplier(self.per_cent), "u long, v long")
 
     @staticmethod
     def _with_regions(rows: DataFrame) -> DataFrame:
@@ -265,19 +275,22 @@ class _Forest:
 
     def grow(self) -> DataFrame:
         """Linked documents and the least one of their group."""
-        tried = durable(self.first_candidates())
-        links = durable(self.confirmed(tried))
+        tried, _ = _stored(self.first_candidates())
+        links, _ = _stored(self.confirmed(tried))
         groups = connected_components(links)
         pairs = self.candidates(groups).withColumn("again", F.lit(False)).unionByName(tried.withColumn("again", F.lit(True)))
-        pairs = durable(pairs.groupBy("a", "b").agg(F.bool_or("again").alias("again")).filter("not again").drop("again"))
-        if not pairs.isEmpty():
-            more = durable(self.confirmed(pairs))
-            if not more.isEmpty():
+        pairs, found = _stored(pairs.groupBy("a", "b").agg(F.bool_or("again").alias("again")).filter("not again").drop("again"))
+        if found["rows"]:
+            more, found = _stored(self.confirmed(pairs))
+            if found["rows"]:
                 groups = connected_components(more.unionByName(self._star(groups)))
         release(groups.sparkSession)
         last = self.crowd_links(groups)
-        last = durable(last) if last is not None else None
-        return groups if last is None or last.isEmpty() else connected_components(last.unionByName(self._star(groups)))
+        if last is not None:
+            last, found = _stored(last)
+            if found["rows"]:
+                groups = connected_components(last.unionByName(self._star(groups)))
+        return groups
 
     @staticmethod
     def _star(groups: DataFrame) -> DataFrame:
@@ -302,7 +315,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5) ->
     named = sketch.filter("in_groups")
     # equal sets are one node, whatever their number; its name is the least doc_id of them
     least = F.min_by(F.struct("n_shingles", "signature"), "doc_id").alias("of")
-    classes = durable(named.groupBy("low", "high").agg(F.min("doc_id").alias("node"), least).select("node", "low", "high", "of.*"))
+    classes, _ = _stored(named.groupBy("low", "high").agg(F.min("doc_id").alias("node"), least).select("node", "low", "high", "of.*"))
     groups = _Forest(docs, classes, similarity, width).grow()
     release(docs.sparkSession)  # the forest's rows and sets
     grouped = classes.select("node", "low", "high").join(groups, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))

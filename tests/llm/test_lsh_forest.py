@@ -2,10 +2,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import lsh_forest
 from skyledger.llm.components import connected_components
-from skyledger.llm.durable import durable
+from skyledger.llm.durable import LEAST_TASKS, TASK_ROWS, counted, durable
 from skyledger.llm.lsh_forest import near_duplicates, without_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,3 +197,32 @@ def test_no_bloom_filter_is_planned(frame, spark, tmp_path):
             spark.conf.set(k, v)
     assert "bloom" not in plan and "might_contain" not in plan
     assert found.count() == 42
+
+
+def test_few_stored_rows_are_read_by_few_tasks(spark):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 9 * TASK_ROWS, numPartitions=60)
+        stored, found = counted(rows, F.max("id").alias("most"))
+        none, empty = counted(rows.filter("id < 0"))
+        nodes = connected_components(spark.createDataFrame([(i, i // 2) for i in range(1, 40)], "u long, v long"))
+        tasks = [df.rdd.getNumPartitions() for df in (stored, none, nodes)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert (found, empty) == ({"rows": 9 * TASK_ROWS, "most": 9 * TASK_ROWS - 1}, {"rows": 0})
+    assert stored.distinct().count() == 9 * TASK_ROWS and none.collect() == []
+    assert tasks[0] == 9 and tasks[1] <= LEAST_TASKS and tasks[2] <= LEAST_TASKS
+    assert {tuple(r) for r in nodes.collect()} == {(i, 0) for i in range(40)}
+
+
+def test_regions_are_looked_at_again_only_if_some_are_crowded(frame, monkeypatch):
+    looked, regions = [], lsh_forest._Forest._with_regions
+    monkeypatch.setattr(lsh_forest._Forest, "_with_regions", staticmethod(lambda rows: looked.append(rows) or regions(rows)))
+    rows = crowd(1)[:9]
+    got = near_duplicates(frame(rows, "doc_id long, text string"), 0.85, 3).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain(rows, 85, 3)
+    assert len(looked) == 1
